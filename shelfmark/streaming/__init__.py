@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are parameterised batch queries over catalogue tables; nothing in them
+uses watermarks, event-time windows or per-key state, so there is no streaming
+operator to provide.  A caller who wants fresh numbers reruns a report.
+"""
