@@ -108,6 +108,13 @@ class Catalogue:
         self._raw = dict(raw or {})
         self.stored = stored
         self.levels = levels if stored else ()
+        self._readers: dict[str, DataFrame] = {}
+
+    def _read(self, rel: str) -> DataFrame:
+        # One reader per stored table: the file listing and footer read happen once.
+        if rel not in self._readers:
+            self._readers[rel] = self.spark.read.parquet(f"{self.stored}/{rel}")
+        return self._readers[rel]
 
     # -- construction -------------------------------------------------------------
     @classmethod
@@ -170,7 +177,7 @@ class Catalogue:
     def doc(self, name: str) -> DataFrame:
         """``id``, promoted keys and ``j`` = the parsed document."""
         if "doc" in self.levels:
-            return self.spark.read.parquet(f"{self.stored}/doc/{name}")
+            return self._read(f"doc/{name}")
         keys, schema = RAW_TABLES[name]
         return self._raw[name].select("id", *keys, F.from_json("jsonb", schema).alias("j"))
 
@@ -181,7 +188,7 @@ class Catalogue:
         object's name (``status.name`` -> ``status_name``), arrays stay arrays.
         """
         if "flat" in self.levels and name in FLAT_TABLES:
-            return self.spark.read.parquet(f"{self.stored}/flat/{name}")
+            return self._read(f"flat/{name}")
         _, schema = RAW_TABLES[name]
         stamps = _TIMESTAMP_MEMBERS.get(name, ())
         cols = [F.col("id")]
@@ -199,7 +206,7 @@ class Catalogue:
     def derived(self, name: str) -> DataFrame:
         """Derived table D1-D11 by name (read when stored, else computed)."""
         if "derived" in self.levels:
-            return self.spark.read.parquet(f"{self.stored}/derived/{name}")
+            return self._read(f"derived/{name}")
         from shelfmark.plans.derived import DERIVED
 
         return DERIVED[name](self)
