@@ -172,11 +172,16 @@ def _compile(node, lx: Column) -> Column:
     if isinstance(node, Term):
         return F.array_contains(lx, F.lit(node.lexeme))
     if isinstance(node, Phrase):
-        (first, _), rest = node.parts[0], node.parts[1:]
-        starts = F.filter(F.transform(lx, lambda x, i: F.when(x == F.lit(first), i)), lambda i: i.isNotNull())
-        return F.exists(starts, lambda p: reduce(
+        # Align the array with copies of itself shifted by each part's offset; a row of
+        # the zip is (lexeme at p, lexeme at p + off2, ...).  No lambda refers to the
+        # array itself, so the document is tokenised once, not once per position.
+        n = F.size(lx)
+        shifted = [(F.slice(lx, off + 1, n) if off else lx).alias(f"p{i}") for i, (_, off) in enumerate(node.parts)]
+        zipped = F.arrays_zip(*shifted)
+        words = [w for w, _ in node.parts]
+        return F.exists(zipped, lambda z: reduce(
             lambda a, b: a & b,
-            [F.coalesce(F.get(lx, p + off) == F.lit(w), F.lit(False)) for w, off in rest]))
+            [F.coalesce(z.getField(f"p{i}") == F.lit(w), F.lit(False)) for i, w in enumerate(words)]))
     if isinstance(node, Not):
         return ~_compile(node.arg, lx)
     if isinstance(node, And):
@@ -194,17 +199,16 @@ def matches(lexeme_array: Column, query: str, config: str = "english") -> Column
     tree = parse_websearch(query, config)
     if tree is None:
         return F.lit(False)
-    return _compile(tree, lexeme_array)
+    # "let lx = lexeme_array in <query>": binding the array to a lambda variable of a
+    # one-element array evaluates the tokeniser once per row, however many terms the
+    # query has (an inlined expression would be re-evaluated at every reference).
+    return F.exists(F.array(lexeme_array), lambda lx: _compile(tree, lx))
 
 
 def filter_matching(df, text: Column, query: str, config: str = "english"):
     """Rows of ``df`` where ``to_tsvector(config, text) @@ websearch_to_tsquery(config, query)``.
 
-    The lexeme array is computed in a projection of its own, so that under 'english'
-    the stemmer UDF is evaluated once per row and never inside the query's lambdas.
+    The lexeme array is computed once per row (see :func:`matches`); under 'english'
+    the stemmer UDF stays outside the query's lambdas.
     """
-    tree = parse_websearch(query, config)
-    if tree is None:
-        return df.filter(F.lit(False))
-    tmp = "__lexemes"
-    return df.withColumn(tmp, lexemes(text, config)).filter(_compile(tree, F.col(tmp))).drop(tmp)
+    return df.filter(matches(lexemes(text, config), query, config))

@@ -207,10 +207,7 @@ def _catalogue_frame(cat: Catalogue, subject: str | None, config: str, instances
     ins = instances if instances is not None else _instances(cat)
     ins = ins.withColumn("subjects_text", jt.array_member_text(F.col("ins.subjects"), "value"))
     if subject is not None:
-        # The lexeme array is its own column: the stemmer (a pandas UDF) may not sit
-        # inside the higher-order functions of the compiled query.
-        ins = (ins.withColumn("subject_lexemes", lexemes(F.col("subjects_text"), config))
-               .filter(matches(F.col("subject_lexemes"), subject, config)).drop("subject_lexemes"))
+        ins = ins.filter(matches(lexemes(F.col("subjects_text"), config), subject, config))
     hl = cat.flat("location").select(F.col("id").alias("permanent_location_id"), F.col("name").alias("home_location"),
                                      F.col("primary_service_point").alias("sp_id"), F.col("campus_id"))
     il = _names(cat, "location", "effectivelocationid", "current_location")

@@ -37,6 +37,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -60,3 +61,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin an under-split input over the cluster's task slots.
+
+    A scan has one task per file split; a source written as one large row group gives a
+    single task however big the text is.  Only when the scan has fewer partitions than
+    the default parallelism is it repartitioned (one shuffle of that input); a large
+    input, which already has many splits, is returned unchanged.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
