@@ -86,8 +86,9 @@ def _source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     fs, p = _hadoop_fs(spark, sf_dir)
     for status in sorted(fs.listStatus(p), key=lambda s: s.getPath().getName()):
         h.update(f"{status.getPath().getName()}:{status.getLen()}:{status.getModificationTime()}".encode())
+    # The stored levels depend only on the source and derived-table definitions.
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for root, _, files in sorted(os.walk(pkg)):
+    for root, _, files in sorted(w for d in ("sources", "plans") for w in os.walk(os.path.join(pkg, d))):
         for name in sorted(files):
             if name.endswith(".py"):
                 with open(os.path.join(root, name), "rb") as fh:
