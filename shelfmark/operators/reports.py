@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import json_text as jt
 from shelfmark.functions.text_search import lexemes, matches
+from shelfmark.plans.joins import left_join_skewed_right
 from shelfmark.sources.catalogue import Catalogue
 
 ALL = "All"
@@ -472,8 +473,9 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
         .withColumn("mt_id", F.col("it.materialTypeId"))
         .join(mt, "mt_id")
         .filter(rule)
-        .join(loans, "item_id", "left")
     )
+    # One item may hold many open loans (the right side is skewed on item_id).
+    rows = left_join_skewed_right(rows, loans, "item_id")
     out = rows.select(
         "subtype", "item_library",
         F.col("it.barcode").alias("item_barcode"),

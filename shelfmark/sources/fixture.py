@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.session import spread
+
 # Uuid prefix per table kind ("uid(kind, k)" in FIXTURES.md).
 KIND = {
     "campus": "a1000000",
@@ -117,7 +119,9 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All raw library tables for one test-data directory (lazy)."""
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        # The documents are built by wide projections (JSON encoding); an input that
+        # arrives as fewer splits than task slots is spread first (no-op when large).
+        return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
     region = read("region")
     nation = read("nation")
