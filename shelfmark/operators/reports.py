@@ -116,16 +116,18 @@ def call_number_list(cat: Catalogue, start_cn: str, end_cn: str | None = None, s
     loan_states = loans.select("item_id", "item_status", "loan_date", "loan_return_date", "renewal_count").distinct()
     checkouts = loans.groupBy("item_id").agg(F.count(F.lit(1)).alias("total_checkouts"))
 
+    # Joins grouped by key: the per-instance sides first, then every per-item side, so
+    # that when the joins are sort-merge the fact side is shuffled once per key.
     rows = (
-        base.join(ext, "item_id")
-        .join(codes, "item_id")
-        .join(subjects, "instance_id")
+        base.join(subjects, "instance_id")
         .join(pubs, "instance_id")
         .join(idents, "instance_id")
+        .join(ext, "item_id")
+        .join(codes, "item_id")
         .join(notes, "item_id")
         .join(renewal_items, "item_id", "left_semi")
-        .join(loan_states, "item_id")
         .join(checkouts, "item_id", "left")
+        .join(loan_states, "item_id")
     )
     out = rows.select(
         "created_date", "effective_location_name", "call_number", "barcode", "title", "material_type_name",
