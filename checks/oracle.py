@@ -192,7 +192,9 @@ LEFT JOIN ntype ON ntype.id = u.e.t""")
 ORACLE["derived_loans_renewal_count"] = q("SELECT loan_id, item_id, renewal_count FROM ol")
 ORACLE["derived_locations_libraries"] = q(f"""
 SELECT loc.location_id, loc.name AS location_name, {uid('a2000000', 'loc.rk')} AS library_id,
-       campus.name AS library_name, {uid('a1000000', 'loc.rk')} AS campus_id, campus.name AS campus_name
+       campus.name AS library_name, {uid('a1000000', 'loc.rk')} AS campus_id, campus.name AS campus_name,
+       {uid('a3000000', 'loc.nk')} AS service_point_id, loc.sp_name AS service_point_name,
+       campus.rk IS NOT NULL AS library_found, campus.rk IS NOT NULL AS campus_found, true AS service_point_found
 FROM loc LEFT JOIN campus ON campus.rk = loc.rk""")
 
 # ---------------------------------------------------------------- reports

@@ -54,6 +54,12 @@ def _doc_names(cat: Catalogue, table: str, id_as: str, name_as: str) -> DataFram
     return cat.doc(table).select(F.col("id").alias(id_as), F.col("j.name").alias(name_as))
 
 
+def _locations(cat: Catalogue, key: str, **columns: str) -> DataFrame:
+    """The location dimension (D11) keyed for one role, with renamed columns."""
+    return cat.derived("locations_libraries").select(
+        F.col("location_id").alias(key), *[F.col(src).alias(dst) for dst, src in columns.items()])
+
+
 def _sorted(df: DataFrame, sort: bool, *order: Column) -> DataFrame:
     return df.orderBy(*order) if sort else df
 
@@ -153,14 +159,13 @@ def equipment_checkouts(cat: Catalogue, service_point: str = ALL, status: str =
 
     users = cat.doc("users").select(F.col("id").alias("user_id"), F.col("j.barcode").alias("patron_barcode"),
                                     F.col("j.personal").alias("personal"))
-    hl = cat.flat("location").select(F.col("id").alias("permanent_location_id"), F.col("name").alias("home_location"),
-                                     F.col("primary_service_point").alias("sp_id"))
-    il = cat.flat("location").select(F.col("id").alias("effectivelocationid"), F.col("name").alias("current_location"),
-                                     F.col("campus_id"))
-    campus = _names(cat, "loccampus", "campus_id", "campus_name")
-    sp = _names(cat, "service_point", "sp_id", "service_point_name")
+    # home location with its service point, current location with its campus
+    hl = _locations(cat, "permanent_location_id", home_location="location_name", sp_name="service_point_name",
+                    sp_found="service_point_found").filter(F.col("sp_found"))
     if _is_set(service_point):
-        sp = sp.filter(F.col("service_point_name") == service_point)
+        hl = hl.filter(F.col("sp_name") == service_point)
+    il = _locations(cat, "effectivelocationid", current_location="location_name", campus_name="campus_name",
+                    campus_found="campus_found").filter(F.col("campus_found"))
 
     rows = (
         ins.join(_holdings_t(cat), "instance_id")
@@ -169,8 +174,6 @@ def equipment_checkouts(cat: Catalogue, service_point: str = ALL, status: str =
         .join(users, "user_id", "left")
         .join(hl, "permanent_location_id")
         .join(il, "effectivelocationid")
-        .join(campus, "campus_id")
-        .join(sp, "sp_id")
     )
     notes = F.col("it.notes")
     return rows.select(
@@ -211,12 +214,12 @@ def _catalogue_frame(cat: Catalogue, subject: str | None, config: str, instances
     ins = ins.withColumn("subjects_text", jt.array_member_text(F.col("ins.subjects"), "value"))
     if subject is not None:
         ins = ins.filter(matches(lexemes(F.col("subjects_text"), config), subject, config))
-    hl = cat.flat("location").select(F.col("id").alias("permanent_location_id"), F.col("name").alias("home_location"),
-                                     F.col("primary_service_point").alias("sp_id"), F.col("campus_id"))
-    il = _names(cat, "location", "effectivelocationid", "current_location")
+    # home location with its campus (and an existing service point), current location
+    hl = _locations(cat, "permanent_location_id", home_location="location_name", campus="campus_name",
+                    sp_found="service_point_found", campus_found="campus_found").filter(
+        F.col("sp_found") & F.col("campus_found"))
+    il = _locations(cat, "effectivelocationid", current_location="location_name")
     mt = _names(cat, "material_type", "materialtypeid", "material_type")
-    campus = _names(cat, "loccampus", "campus_id", "campus")
-    sp = cat.flat("service_point").select(F.col("id").alias("sp_id"))
     insc = _doc_names(cat, "statistical_code", "ins_code_id", "instance_stat_code")
     itsc = _doc_names(cat, "statistical_code", "it_code_id", "item_stat_code")
     return (
@@ -225,8 +228,6 @@ def _catalogue_frame(cat: Catalogue, subject: str | None, config: str, instances
         .join(hl, "permanent_location_id")
         .join(il, "effectivelocationid")
         .join(mt, "materialtypeid")
-        .join(sp, "sp_id", "left_semi")
-        .join(campus, "campus_id")
         .withColumn("ins_code_id", F.get(F.col("ins.statisticalCodeIds"), 0))
         .withColumn("it_code_id", F.get(F.col("it.statisticalCodeIds"), 0))
         .join(insc, "ins_code_id", "left")
@@ -313,13 +314,11 @@ def item_details(cat: Catalogue, service_point: str = ALL, holdings_location: st
                  temporary_loan_type: str = ALL, subtype: str = ALL,
                  pub_date_source: str = "publicationPeriod") -> DataFrame:
     """Wide item listing with the eight note kinds."""
-    hl = cat.flat("location").select(F.col("id").alias("permanent_location_id"),
-                                     F.col("name").alias("holdings_location"),
-                                     F.col("primary_service_point").alias("sp_id"))
-    sp = _names(cat, "service_point", "sp_id", "service_point")
+    hl = _locations(cat, "permanent_location_id", holdings_location="location_name",
+                    service_point="service_point_name", sp_found="service_point_found").filter(F.col("sp_found"))
     plt = _names(cat, "loan_type", "permanentloantypeid", "permanent_loan_type")
     tlt = _names(cat, "loan_type", "temporaryloantypeid", "temporary_loan_type")
-    il = _names(cat, "location", "effectivelocationid", "item_location")
+    il = _locations(cat, "effectivelocationid", item_location="location_name")
     mt = _names(cat, "material_type", "materialtypeid", "material_type")
     insc = _doc_names(cat, "statistical_code", "ins_code_id", "instance_stat_code")
     itsc = _doc_names(cat, "statistical_code", "it_code_id", "item_stat_code")
@@ -327,7 +326,6 @@ def item_details(cat: Catalogue, service_point: str = ALL, holdings_location: st
         _instances(cat).join(_holdings_t(cat), "instance_id")
         .join(_items(cat), "holdings_id")
         .join(hl, "permanent_location_id")
-        .join(sp, "sp_id")
         .join(plt, "permanentloantypeid")
         .join(tlt, "temporaryloantypeid", "left")
         .join(il, "effectivelocationid")
@@ -447,13 +445,12 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
 
     hr = cat.raw("holdings_record").select(F.col("id").alias("holdings_id"), F.col("instanceid").alias("instance_id"),
                                            F.col("permanentlocationid").alias("home_location_id"))
-    hl = cat.flat("location").select(F.col("id").alias("home_location_id"), F.col("name").alias("home_location"),
-                                     F.col("library_id"))
-    library = _names(cat, "loclibrary", "library_id", "item_library")
+    hl = _locations(cat, "home_location_id", home_location="location_name", item_library="library_name",
+                    library_found="library_found").filter(F.col("library_found"))
     insc = _names(cat, "statistical_code", "ins_code_id", "subtype")
     mt = _names(cat, "material_type", "mt_id", "material_type")
     if _is_set(item_library):
-        library = library.filter(F.col("item_library") == item_library)
+        hl = hl.filter(F.col("item_library") == item_library)
 
     code, mtype = F.col("subtype"), F.col("material_type")
     calculator = (code == "Calculator") & (mtype == "SEM-ITEM")
@@ -469,7 +466,6 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
         _instances(cat).join(hr, "instance_id")
         .join(_items(cat), "holdings_id")
         .join(hl, "home_location_id")
-        .join(library, "library_id")
         .withColumn("ins_code_id", F.get(F.col("ins.statisticalCodeIds"), 0))
         .join(insc, "ins_code_id")
         .withColumn("mt_id", F.col("it.materialTypeId"))

@@ -132,12 +132,28 @@ def loans_renewal_count(cat: Catalogue) -> DataFrame:
 
 
 def locations_libraries(cat: Catalogue) -> DataFrame:
-    """One row per location with its library and campus."""
+    """One row per location with its library, campus and primary service point.
+
+    This is the location dimension the reports join once per role (home / current
+    location) instead of joining location, campus, library and service point
+    separately.  ``*_found`` tells whether the referenced row exists, so a report can
+    keep the inner-join semantics of the original lookups.
+    """
     loc = cat.flat("location").select(F.col("id").alias("location_id"), F.col("name").alias("location_name"),
-                                      F.col("library_id"), F.col("campus_id"))
-    return (loc.join(_names(cat, "loclibrary", "library_id", "library_name"), "library_id", "left")
-            .join(_names(cat, "loccampus", "campus_id", "campus_name"), "campus_id", "left")
-            .select("location_id", "location_name", "library_id", "library_name", "campus_id", "campus_name"))
+                                      F.col("library_id"), F.col("campus_id"),
+                                      F.col("primary_service_point").alias("service_point_id"))
+
+    def named(table: str, key: str, prefix: str) -> DataFrame:
+        return cat.flat(table).select(F.col("id").alias(key), F.col("name").alias(f"{prefix}_name"),
+                                      F.lit(True).alias(f"{prefix}_found"))
+
+    out = (loc.join(named("loclibrary", "library_id", "library"), "library_id", "left")
+           .join(named("loccampus", "campus_id", "campus"), "campus_id", "left")
+           .join(named("service_point", "service_point_id", "service_point"), "service_point_id", "left"))
+    return out.select("location_id", "location_name", "library_id", "library_name", "campus_id", "campus_name",
+                      "service_point_id", "service_point_name",
+                      *[F.coalesce(f"{p}_found", F.lit(False)).alias(f"{p}_found")
+                        for p in ("library", "campus", "service_point")])
 
 
 DERIVED = {
