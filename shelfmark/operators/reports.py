@@ -107,34 +107,46 @@ def call_number_list(cat: Catalogue, start_cn: str, end_cn: str | None = None, s
         s = F.array_sort(F.collect_set(values))
         return F.when(F.size(s) > 0, F.array_join(s, ", "))
 
+    def distinct_list(values: Column) -> Column:
+        s = F.array_sort(F.array_distinct(F.filter(values, lambda v: v.isNotNull())))
+        return F.when(F.size(s) > 0, F.array_join(s, ", "))
+
+    # Per-instance lists straight from the instance document: each instance's subjects,
+    # publications and identifiers are arrays in one row, so DISTINCT + sort is an array
+    # pass -- equal to aggregating the exploded derived tables (D6-D8) per instance, but
+    # with no shuffle.  An instance needs at least one element of each (inner joins).
+    j = F.col("j")
+    nonempty = [F.coalesce(F.size(j.getField(a)) > 0, F.lit(False)) for a in ("subjects", "publication", "identifiers")]
+    instance_lists = cat.doc("instance").filter(nonempty[0] & nonempty[1] & nonempty[2]).select(
+        F.col("id").alias("instance_id"),
+        distinct_list(F.transform(j.getField("subjects"), lambda x: F.lower(x.getField("value")))).alias("subjects"),
+        distinct_list(F.transform(j.getField("publication"), lambda x: x.getField("dateOfPublication"))
+                      ).alias("instance_publication"),
+        distinct_list(F.transform(j.getField("identifiers"), lambda x: x.getField("value"))
+                      ).alias("instance_identifiers"))
     ext = cat.derived("item_ext").select("item_id", "created_date", "effective_location_name")
     codes = cat.derived("item_statistical_codes").select("item_id", "statistical_code_name").distinct()
-    subjects = cat.derived("instance_subjects").groupBy("instance_id").agg(
-        distinct_join(F.lower(F.get_json_object("subjects", "$.value"))).alias("subjects"))
-    pubs = cat.derived("instance_publication").groupBy("instance_id").agg(
-        distinct_join(F.col("date_of_publication")).alias("instance_publication"))
-    idents = cat.derived("instance_identifiers").groupBy("instance_id").agg(
-        distinct_join(F.col("identifier")).alias("instance_identifiers"))
     notes = cat.derived("item_notes").groupBy("item_id").agg(
         distinct_join(F.when(F.col("note_type_name") == "Staff Note", F.col("note"))).alias("item_notes"))
     renewal_items = cat.derived("loans_renewal_count").select("item_id")
-    loans = cat.derived("loans_items")
-    loan_states = loans.select("item_id", "item_status", "loan_date", "loan_return_date", "renewal_count").distinct()
-    checkouts = loans.groupBy("item_id").agg(F.count(F.lit(1)).alias("total_checkouts"))
-
-    # Joins grouped by key: the per-instance sides first, then every per-item side, so
-    # that when the joins are sort-merge the fact side is shuffled once per key.
-    rows = (
-        base.join(subjects, "instance_id")
-        .join(pubs, "instance_id")
-        .join(idents, "instance_id")
+    # One aggregation of the loans: distinct loan states with their counts; the total
+    # per item is the sum over its states (a second, much smaller aggregation).
+    loan_states = cat.derived("loans_items").groupBy(
+        "item_id", "item_status", "loan_date", "loan_return_date", "renewal_count").agg(F.count(F.lit(1)).alias("n"))
+    checkouts = loan_states.groupBy("item_id").agg(F.sum("n").alias("total_checkouts"))
+
+    # The per-instance side first, then every per-item side, so that when the joins are
+    # sort-merge the item frame is shuffled once per key.  The loan states -- the
+    # largest input and the grain of the result -- are the streamed side of the last join.
+    items = (
+        base.join(instance_lists, "instance_id")
         .join(ext, "item_id")
         .join(codes, "item_id")
         .join(notes, "item_id")
         .join(renewal_items, "item_id", "left_semi")
         .join(checkouts, "item_id", "left")
-        .join(loan_states, "item_id")
     )
+    rows = loan_states.drop("n").join(items, "item_id")
     out = rows.select(
         "created_date", "effective_location_name", "call_number", "barcode", "title", "material_type_name",
         "cataloged_date", "statistical_code_name", "item_status", "loan_date", "loan_return_date",
