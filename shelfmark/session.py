@@ -59,7 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="shelfmark-ckpt-", dir=os.environ.get("SHELFMARK_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
+        try:
+            spark.sparkContext.setCheckpointDir(current)
+        except Exception:  # no SparkContext access (Spark Connect): the conf is enough
+            pass
     return current
 
 
@@ -71,7 +74,11 @@ def spread(df, min_partitions: int | None = None):
     the default parallelism is it repartitioned (one shuffle of that input); a large
     input, which already has many splits, is returned unchanged.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    if current < target:
         return df.repartition(target)
     return df

@@ -65,7 +65,17 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _jvm_available(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jvm is not None
+    except Exception:  # Spark Connect: no driver JVM in this process
+        return False
+
+
 def _read_text(spark: SparkSession, path: str) -> str | None:
+    if not _jvm_available(spark):
+        local = path.removeprefix("file:")
+        return open(local).readline().strip() if os.path.exists(local) else None
     fs, p = _hadoop_fs(spark, path)
     if not fs.exists(p):
         return None
@@ -79,6 +89,13 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def _write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
+    if not _jvm_available(spark):
+        local = path.removeprefix("file:")
+        tmp = f"{local}.{uuid.uuid4().hex}.tmp"
+        with open(tmp, "w") as fh:
+            fh.write(text)
+        os.replace(tmp, local)
+        return
     fs, p = _hadoop_fs(spark, path)
     tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
@@ -92,10 +109,15 @@ def _write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
 
 
 def _source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    fs, p = _hadoop_fs(spark, sf_dir)
-    for status in sorted(fs.listStatus(p), key=lambda s: s.getPath().getName()):
-        h.update(f"{status.getPath().getName()}:{status.getLen()}:{status.getModificationTime()}".encode())
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
+    if _jvm_available(spark):
+        fs, p = _hadoop_fs(spark, sf_dir)
+        for status in sorted(fs.listStatus(p), key=lambda s: s.getPath().getName()):
+            h.update(f"{status.getPath().getName()}:{status.getLen()}:{status.getModificationTime()}".encode())
+    else:
+        for name in sorted(os.listdir(sf_dir)):
+            st = os.stat(os.path.join(sf_dir, name))
+            h.update(f"{name}:{st.st_size}:{int(st.st_mtime * 1000)}".encode())
     # The stored levels depend only on the source and derived-table definitions.
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for root, _, files in sorted(w for d in ("sources", "plans") for w in os.walk(os.path.join(pkg, d))):
