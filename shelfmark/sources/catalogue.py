@@ -45,9 +45,10 @@ LEVELS = ("doc", "flat", "derived")
 
 # Stored layout: tables the reports filter by a range are range-partitioned and sorted
 # on that column, so Parquet file and row-group statistics skip what is out of range
-# (call-number ranges in R1/R4, loan-date ranges in R2/R3/R6).
+# (call-number ranges in R1/R4, loan-date ranges in R2/R3/R6, barcode lookup in R8).
 LAYOUT = {
     "flat/holdings_record": "call_number",
+    "flat/item": "barcode",
     "flat/loan": "loan_date",
     "derived/items_holdings_instances": "call_number",
     "derived/loans_items": "loan_date",
@@ -184,10 +185,15 @@ class Catalogue:
         """
         from shelfmark.plans.derived import DERIVED
 
+        # Range-partitioned tables get an explicit partition count (the session's shuffle
+        # partitions, sized for the cluster): otherwise AQE may coalesce a small table into
+        # one file, and every later plan that streams it runs in a single task.
+        ranges = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
         def write(df: DataFrame, rel: str) -> None:
             column = LAYOUT.get(rel)
             if column:
-                df = df.repartitionByRange(column).sortWithinPartitions(column)
+                df = df.repartitionByRange(ranges, column).sortWithinPartitions(column)
             df.write.mode("overwrite").parquet(f"{path}/{rel}")
 
         for name in RAW_TABLES:
