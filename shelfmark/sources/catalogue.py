@@ -26,6 +26,8 @@ import hashlib
 import os
 import re
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,14 +198,18 @@ class Catalogue:
                 df = df.repartitionByRange(ranges, column).sortWithinPartitions(column)
             df.write.mode("overwrite").parquet(f"{path}/{rel}")
 
-        for name in RAW_TABLES:
-            write(self.doc(name), f"doc/{name}")
+        def write_all(jobs: dict[str, Callable[[], DataFrame]]) -> None:
+            # The tables of one level are independent Spark jobs: submit them together so
+            # the scheduler interleaves their tasks instead of running them one by one.
+            with ThreadPoolExecutor(max_workers=min(8, len(jobs))) as pool:
+                for future in [pool.submit(lambda r=rel, b=build: write(b(), r)) for rel, build in jobs.items()]:
+                    future.result()
+
+        write_all({f"doc/{name}": (lambda n=name: self.doc(n)) for name in RAW_TABLES})
         docs = Catalogue.from_stored(self.spark, path, levels=("doc",))
-        for name in FLAT_TABLES:
-            write(docs.flat(name), f"flat/{name}")
+        write_all({f"flat/{name}": (lambda n=name: docs.flat(n)) for name in FLAT_TABLES})
         flats = Catalogue.from_stored(self.spark, path, levels=("doc", "flat"))
-        for name, job in DERIVED.items():
-            write(job(flats), f"derived/{name}")
+        write_all({f"derived/{name}": (lambda j=job: j(flats)) for name, job in DERIVED.items()})
         return Catalogue.from_stored(self.spark, path)
 
     def computed(self) -> "Catalogue":

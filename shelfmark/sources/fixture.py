@@ -118,13 +118,14 @@ def _lookup(spark: SparkSession, kind: str, names: list[str], doc_field: str = "
 def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All raw library tables for one test-data directory (lazy)."""
 
-    def read(name: str) -> DataFrame:
+    def read(name: str, spread_out: bool = True) -> DataFrame:
         # The documents are built by wide projections (JSON encoding); an input that
         # arrives as fewer splits than task slots is spread first (no-op when large).
-        return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(df) if spread_out else df
 
-    region = read("region")
-    nation = read("nation")
+    region = read("region", spread_out=False)   # a handful of rows: nothing to spread
+    nation = read("nation", spread_out=False)
     part = read("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     customer = read("customer").select("c_custkey", "c_name", "c_mktsegment")
     orders = read("orders")
