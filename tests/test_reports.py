@@ -76,3 +76,26 @@ def test_call_number_list_open_end_equals_wide_end(cat):
     assert a.count() == b.count() > 0
     assert R.call_number_list(cat, "QA", "QA 3", sort=False).filter(
         ~F.col("call_number").between("QA", "QA 3")).count() == 0
+
+
+def test_none_means_all_for_rule_parameters(cat):
+    assert R.item_details(cat, service_point=None, material_type=None).count() == R.item_details(cat).count()
+
+
+def test_item_details_status_filter(cat):
+    rows = R.item_details(cat, item_status="Missing").select("item_status").distinct().collect()
+    assert [r.item_status for r in rows] == ["Missing"]
+
+
+def test_publication_date_source_parameter(cat):
+    dates = {r.instance_id: r.pub_date for r in T.publication_date(cat, "dates").collect()}
+    period = {r.instance_id: r.pub_date for r in T.publication_date(cat, "publicationPeriod").collect()}
+    assert dates == period and any(v is not None for v in dates.values())
+
+
+def test_text_configuration_parameter(cat):
+    # 'widgets' stems to the subject word 'widget' under 'english' only.
+    english = R.inventory_search(cat, subject="widgets", sort=False).count()
+    simple = R.inventory_search(cat, subject="widgets", config="simple", sort=False).count()
+    assert english > 0 and simple == 0
+    assert R.inventory_search(cat, subject="widget", config="simple", sort=False).count() == english
