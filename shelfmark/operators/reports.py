@@ -81,9 +81,8 @@ def _items(cat: Catalogue) -> DataFrame:
 
 
 def _loan_stats(cat: Catalogue) -> DataFrame:
-    """Checkouts and renewals per item (the loans CTE of R4/R10)."""
-    return cat.flat("loan").groupBy("item_id").agg(
-        F.count("id").alias("checkouts"), F.sum("renewal_count").alias("renewals"))
+    """Checkouts and renewals per item (the loans CTE of R4/R10), stored at load."""
+    return cat.derived("item_loan_stats")
 
 
 # --------------------------------------------------------------------------- R1

@@ -156,6 +156,15 @@ def locations_libraries(cat: Catalogue) -> DataFrame:
                         for p in ("library", "campus", "service_point")])
 
 
+def item_loan_stats(cat: Catalogue) -> DataFrame:
+    """Checkouts and renewals per item with at least one loan (the loans CTE of R4/R10).
+
+    Stored at load so a catalogue search does not aggregate every loan per query.
+    """
+    return cat.flat("loan").groupBy("item_id").agg(
+        F.count("id").alias("checkouts"), F.sum("renewal_count").alias("renewals"))
+
+
 def instance_subject_lexemes(cat: Catalogue) -> DataFrame:
     """Subject text of every instance as 'english' lexemes (FT1 index, SURVEY 2.8 step 3).
 
@@ -184,6 +193,7 @@ DERIVED = {
     "loans_renewal_count": loans_renewal_count,
     "locations_libraries": locations_libraries,
     "instance_subject_lexemes": instance_subject_lexemes,
+    "item_loan_stats": item_loan_stats,
 }
 
 
