@@ -54,3 +54,13 @@ def test_call_number_list_rewrite_equals_naive_fan_out(spark, cat):
     naive = naive.select(*[F.col(c).cast(ours.schema[c].dataType) for c in cols])
     assert ours.count() == naive.count() > 0
     assert ours.exceptAll(naive).count() == 0 and naive.exceptAll(ours).count() == 0
+
+
+def test_no_cross_join_or_row_python_in_any_registered_query(spark):
+    """No registered query pairs rows without a key or runs row-at-a-time Python."""
+    import __spark_entry__ as E
+
+    for key, build in E.queries().items():
+        plan = _plan(build(spark, "/root/testdata/sf0.001"))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert bad not in plan, (key, bad)
