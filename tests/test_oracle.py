@@ -45,3 +45,13 @@ def test_query_matches_oracle(spark, con, key):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
+
+
+def test_registered_queries_pin_the_session_zone(spark):
+    """date(ts) and timestamptz casts are defined in UTC; a caller's other zone is overridden."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        E.queries()["location_checkout_counts"](spark, SMOKE)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
