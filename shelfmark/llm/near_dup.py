@@ -5,10 +5,13 @@ table key is a pair (sub-key i of the first collection, sub-key j of the second)
 2 * SUBS * ROWS minhashes give SUBS**2 tables of 2 * ROWS rows each.  A pair of Jaccard
 similarity s meets in some table with probability (1 - (1 - s**ROWS)**SUBS)**2: 0.9999 at 0.85.
 
-Rounds: every document is first compared with one centre of its buckets, then with all its
-centres that are still in another component, and last with every bucket member that is still
-in another component, so no link between components stays unseen however large a bucket is;
-pairs inside a component are never listed.  Links are decided on the full sets.
+Every bucket is a star: its members are compared with its smallest document, the centre, on
+full sets, and what each member lost and gained against the centre is kept.  Members of a
+centre that are still in different components are then compared with each other exactly through
+those differences, in a join condition: pairs inside a component are not looked at, and pairs
+without a link are never listed.  Documents whose shingles are too often unique to have any
+link are set aside first by an exact bound.  So no link between components stays unseen,
+however large a bucket is.
 """
 
 from __future__ import annotations
@@ -71,37 +74,42 @@ def _signer(k: int):
 def _set_writer(k: int):
     def run(batches):
         for batch in batches:
-            out = []
-            for _, count, grams, at in document_sets(batch.column("text"), k):
-                out += [grams[at[d]:at[d + 1]].tobytes() for d in range(count)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["id", "grams"])
+            for first, count, grams, at in document_sets(batch.column("text"), k):
+                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(grams.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, count), lists], ["id", "grams"])
     return run
 
 
-def _verifier(percent: int):
+def _sets_in(column: pa.ListArray):
+    at, flat = column.offsets.to_numpy(), column.values.to_numpy().view(U)
+    return [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
+DIFFS = "u long, v long, linked boolean, n_u long, n_v long, lost array<long>, new array<long>"
+
+
+def _comparer(percent: int):
+    """Exact comparison of member v with its centre u: what v lost of u's set and what it has new."""
     def run(batches):
         for batch in batches:
-            left, right = batch.column("grams_u"), batch.column("grams_v")
-            good = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                a, b = (np.frombuffer(c[i].as_buffer(), U) for c in (left, right))
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                both = int(np.count_nonzero(b[at] == a))
-                good[i] = 100 * both >= percent * (len(a) + len(b) - both)
-            keep = pa.array(good)
-            yield pa.RecordBatch.from_arrays([batch.column("u").filter(keep), batch.column("v").filter(keep)], ["u", "v"])
+            linked, sizes, lost, new = [], [], [], []
+            for c, m in zip(_sets_in(batch.column("grams_u")), _sets_in(batch.column("grams_v"))):
+                at = np.minimum(np.searchsorted(c, m), len(c) - 1)
+                hit = c[at] == m
+                gone = np.ones(len(c), bool)
+                gone[at[hit]] = False
+                both = int(hit.sum())
+                linked.append(100 * both >= percent * (len(c) + len(m) - both))
+                sizes.append((len(c), len(m)))
+                lost.append(c[gone].view(np.int64))
+                new.append(m[~hit].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("u"), batch.column("v"), pa.array(linked, pa.bool_()), pa.array([s[0] for s in sizes], pa.int64()),
+                 pa.array([s[1] for s in sizes], pa.int64()), pa.array(lost, pa.list_(pa.int64())), pa.array(new, pa.list_(pa.int64()))],
+                ["u", "v", "linked", "n_u", "n_v", "lost", "new"])
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (u, v) of ``pairs`` whose full sets reach the similarity."""
-    both = (pairs.join(sets.select(F.col("id").alias("u"), F.col("grams").alias("grams_u")), "u")
-            .join(sets.select(F.col("id").alias("v"), F.col("grams").alias("grams_v")), "v"))
-    return both.mapInArrow(_verifier(percent), "u long, v long").distinct()
-
-
 def minhash_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text).
 
@@ -143,37 +151,43 @@ def _class_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> D
     live = materialize(live, "live")
     bands = (live.withColumn("x", F.explode("a")).withColumn("y", F.explode("b"))
              .select(F.xxhash64("x.i", "y.i", "x.sub", "y.sub").alias("key"), "rep", F.col("n_shingles").alias("n")))
-    stars = bands.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("members")).where("members > 1")
-    stars = (bands.join(stars, "key").where("rep <> c.rep")
-             .select(F.col("c.rep").alias("u"), F.col("c.n").alias("nu"), F.col("rep").alias("v"), F.col("n").alias("nv")))
+    stars = bands.groupBy("key").agg(F.min("rep").alias("u"), F.count("*").alias("members")).where("members > 1")
+    stars = bands.join(stars, "key").where("rep <> u").select("u", F.col("rep").alias("v"), F.col("n").alias("n_v"))
     stars = materialize(stars.distinct(), "stars")
-
-    def fits(a: str, b: str):  # the size bound that any linked pair meets
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
     ids = stars.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    sets = materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_writer(k), "id long, grams binary"), "sets")
-
-    near = stars.where(fits("nu", "nv"))
-    first = near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    links = materialize(_confirmed(first, sets, percent), "links1")
-    comp = materialize(connected_components(links, "u", "v"), "components1")
-
-    def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
-        label = comp.select(F.col("node").alias(column), F.col("component").alias(name))
-        return df.join(label, column, "left").withColumn(name, F.coalesce(name, column))
-
-    second = labelled(labelled(near, "u", "cu"), "v", "cv").where("cu <> cv").select("u", "v")
-    links = materialize(links.unionAll(_confirmed(second.join(first, ["u", "v"], "left_anti"), sets, percent)), "links2")
-    comp = materialize(connected_components(links, "u", "v"), "components2")
-
-    # What is left: members of one bucket in different components, centres aside.
-    split = labelled(bands, "rep", "comp")
-    mixed = split.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members"))
-    mixed = mixed.where("lo <> hi AND members > 2").select("key")
-    split = materialize(split.join(mixed, "key", "left_semi"), "mixed")
-    one, two = (split.select("key", F.col("rep").alias(a), F.col("n").alias(b), F.col("comp").alias(c))
-                for a, b, c in (("u", "nu", "cu"), ("v", "nv", "cv")))
-    third = one.join(two, "key").where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & fits("nu", "nv"))
-    third = third.select("u", "v").distinct().join(near.select("u", "v"), ["u", "v"], "left_anti")
-    return links.unionAll(_confirmed(third, sets, percent))
+    sets = materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_writer(k), "id long, grams array<long>"), "sets")
+
+    # A shingle that only one candidate has is in no intersection; m = |set| - such shingles.
+    # |intersection| <= m and |union| >= |set|, so a document with too small an m has no link.
+    alone = (sets.select("id", F.explode("grams").alias("g")).groupBy("g")
+             .agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1").groupBy("id").agg(F.count("*").alias("alone")))
+    able = (sets.select("id", F.size("grams").cast("long").alias("n")).distinct().join(alone, "id", "left")
+            .select(F.col("id").alias("v"), F.col("n").alias("n_v"), (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
+            .where(f"100 * m >= {percent} * n_v"))
+    diffs = (stars.join(able, ["v", "n_v"])
+             .join(sets.select(F.col("id").alias("u"), F.col("grams").alias("grams_u")), "u")
+             .join(sets.select(F.col("id").alias("v"), F.col("grams").alias("grams_v")), "v")
+             .select("u", "v", "grams_u", "grams_v").mapInArrow(_comparer(percent), DIFFS))
+    diffs = materialize(diffs, "diffs")
+    links = materialize(diffs.where("linked").select("u", "v").distinct(), "links")
+    comp = materialize(connected_components(links, "u", "v"), "components")
+
+    # Members of one centre in different components, compared through the centre:
+    # |a & b| = |centre| - |lost_a | lost_b| + |new_a & new_b|.  The join tests this in its
+    # condition, so it puts out links only, never the pairs.
+    label = comp.select(F.col("node").alias("v"), F.col("component").alias("comp"))
+    members = diffs.join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
+    mixed = members.groupBy("u").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("u")
+    members = materialize(members.join(mixed, "u", "left_semi").drop("linked"), "members")
+    one, two = (members.select("u", "n_u", *[F.col(c).alias(f"{c}_{x}") for c in ("v", "comp", "n_v", "lost", "new")])
+                .drop(*(["n_u"] if x == "b" else [])) for x in "ab")
+    low = F.least("n_v_a", "n_v_b")
+    both = F.col("n_u") - F.size(F.array_union("lost_a", "lost_b")) + F.size(F.array_intersect("new_a", "new_b"))
+    most = F.col("n_u") - F.greatest(F.size("lost_a"), F.size("lost_b")) + F.least(F.size("new_a"), F.size("new_b"))
+
+    def enough(shared):
+        return 100 * shared >= percent * (F.col("n_v_a") + F.col("n_v_b") - shared)
+
+    more = one.join(two, "u").where((F.col("v_a") < F.col("v_b")) & (F.col("comp_a") != F.col("comp_b"))
+                                    & enough(low) & enough(most) & enough(both))
+    return links.unionAll(more.select(F.col("v_a").alias("u"), F.col("v_b").alias("v")))
