@@ -6,11 +6,11 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def _words(text: str) -> str:
-    return rf"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+    return rf"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 
 _TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in NOTICES.items())
-_ALNUM = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '')"
+_ALNUM = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 
 
 def _grams(name: str, source: str, key: str, words: str, k: int) -> str:
@@ -33,10 +33,10 @@ FROM documents d LEFT JOIN (SELECT doc_id, string_agg(body, chr(10) ORDER BY chu
     "op3_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
 q AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last,
-        array_to_string(list_transform(string_split(hex, ''), c -> ['0000','0001','0010','0011','0100','0101','0110','0111',
+        array_to_string(list_transform(string_split(hex, ''), lambda c: ['0000','0001','0010','0011','0100','0101','0110','0111',
           '1000','1001','1010','1011','1100','1101','1110','1111'][strpos('0123456789abcdef', c)]), '') AS bits FROM p)
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     (1 + 16 * substr(bits, 1 + 5 * i, 1)::INT + 8 * substr(bits, 2 + 5 * i, 1)::INT + 4 * substr(bits, 3 + 5 * i, 1)::INT
        + 2 * substr(bits, 4 + 5 * i, 1)::INT + substr(bits, 5 + 5 * i, 1)::INT)::BIGINT, 1)), '') AS payload_digest,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
@@ -55,8 +55,8 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.low,
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT u AS doc_id, min(v) AS low FROM r GROUP BY 1) m USING (doc_id)""",
     "op6_embedding_near_dedup": """
 WITH RECURSIVE g AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-                     WHERE list_aggregate(list_transform(embedding, x -> (x IS NOT NULL AND isfinite(x))::INT), 'min') = 1
-                       AND list_aggregate(list_transform(embedding, x -> abs(x)), 'max') > 0),
+                     WHERE list_aggregate(list_transform(embedding, lambda x: (x IS NOT NULL AND isfinite(x))::INT), 'min') = 1
+                       AND list_aggregate(list_transform(embedding, lambda x: abs(x)), 'max') > 0),
 e AS (SELECT a.vec_id AS u, b.vec_id AS v FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
       WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
 r(u, v) AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u)
@@ -74,9 +74,9 @@ FROM d JOIN t USING (g) JOIN n USING (license_id) GROUP BY doc_id, license_id, n
 WITH w AS (SELECT doc_id, {_words("coalesce(text, '')")} AS ws FROM documents),
 win AS (SELECT doc_id, s, md5(array_to_string(ws[s:s + 49], ' ')) AS h FROM w, unnest(range(1, len(ws) - 48)) AS t(s)),
 low AS (SELECT h, min(doc_id) AS lo FROM win GROUP BY h),
-gone AS (SELECT doc_id, list(DISTINCT s + o) AS at FROM win JOIN low USING (h), unnest(range(0, 50)) AS u(o) WHERE doc_id > lo GROUP BY doc_id)
-SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(at), 0)::BIGINT AS n_removed,
-       sha256(array_to_string(CASE WHEN at IS NULL THEN ws ELSE list_filter(ws, (x, i) -> NOT list_contains(at, i)) END, ' ')) AS kept_sha256
+gone AS (SELECT doc_id, list(DISTINCT s + o) AS pos FROM win JOIN low USING (h), unnest(range(0, 50)) AS u(o) WHERE doc_id > lo GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(pos), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN pos IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(pos, i)) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id)""",
     "op10_decontamination": f"""
 WITH {_grams('d', 'documents', 'doc_id', _words(_LOWER), 5)},
