@@ -27,7 +27,7 @@ from .common import prepare, with_defaults
 FIT_DOCS = 3000
 SMOOTH = 0.5
 LONGEST = 32  # letters of a word scored at once; a longer word is scored as runs of this many
-TABLE_WORDS = 400_000
+TABLE_WORDS = 250_000
 MARK = "▁"
 
 

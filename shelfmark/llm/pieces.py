@@ -12,7 +12,9 @@ table for all tasks would have to be joined to every word occurrence.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -22,13 +24,13 @@ from pyspark.sql import types as T
 from .common import prepare
 
 MARK = "▁"
-TABLE_WORDS = 400_000
+TABLE_WORDS = 200_000
 TABLE_CHARS = 8_000_000
 _CUT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 class WordTable:
-    """ids and decoded text of distinct marked words under one model."""
+    """ids and decoded text of distinct marked words under one model, a bounded number at a time."""
 
     def __init__(self, model: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -41,47 +43,61 @@ class WordTable:
 
     def clear(self):
         self.ids: dict[str, list[int]] = {}
-        self.texts: dict[str, str] = {}
+        self.odd: dict[str, str] = {}  # decoded text of words that do not decode to themselves
         self.chars = 0
 
-    def learn(self, found: list[str]):
-        """Segment the words of a text that the table does not hold yet."""
-        new = [w for w in dict.fromkeys(found) if w not in self.ids]
-        if not new:
-            return
+    def learn(self, found: set[str]):
+        """Segment the words of a batch of texts that the table does not hold yet, each once."""
+        new = [w for w in found if w not in self.ids]
         size = sum(map(len, new))
         if self.ids and (len(self.ids) + len(new) > TABLE_WORDS or self.chars + size > TABLE_CHARS):
             self.clear()
-            new, size = list(dict.fromkeys(found)), sum(map(len, dict.fromkeys(found)))
+            new = list(found)
+            size = sum(map(len, new))
+        if not new:
+            return
         self.chars += size
         # the model puts the first mark in front itself
-        for word, ids in zip(new, self.model.encode([w[1:] for w in new], num_threads=1)):
+        segmented = self.model.encode([w[1:] for w in new], num_threads=1)
+        for i, word in enumerate(new):
             if word == MARK:  # a lone mark: the empty text encodes to nothing, so it is taken from a pair
-                ids = self.model.encode(f"a{MARK}")[len(self.model.encode("a")):]
-            self.ids[word] = ids
-            self.texts[word] = " " * word.count(MARK) + self.model.decode(ids).lstrip(" ") if word.strip(MARK) else " " * len(word)
-
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """The ids of a text and the text that they decode to."""
-        if not text:
-            return [], ""
-        found = _CUT.findall(MARK + text.replace(" ", MARK))
-        self.learn(found)
-        ids: list[int] = []
-        for word in found:
-            ids += self.ids[word]
-        return ids, "".join([self.texts[w] for w in found])[1:]
+                segmented[i] = self.model.encode(f"a{MARK}")[len(self.model.encode("a")):]
+        self.ids.update(zip(new, segmented))
+        for word, text in zip(new, self.model.decode(segmented)):
+            if text != word[1:].replace(MARK, " "):
+                self.odd[word] = " " + text
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], str]]:
+        """The ids of every text and the text that they decode to."""
+        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+        cut = [_CUT.findall(m) for m in marked]
+        self.learn(set().union(*cut))
+        out, table, odd = [], self.ids, self.odd
+        for mark, found in zip(marked, cut):
+            ids: list[int] = []
+            for word in found:
+                ids += table[word]
+            if odd and not odd.keys().isdisjoint(found):
+                text = "".join([odd.get(w) or w.replace(MARK, " ") for w in found])[1:]
+            else:
+                text = mark[1:].replace(MARK, " ")
+            out.append((ids, text))
+        return out
 
 
 def _encoder(model: bytes):
     def run(batches):
         table = WordTable(model)
-        for batch in batches:
-            pairs = [table.encode(t.as_py() or "") for t in batch.column("__text")]
-            out = batch.drop_columns(["__text"])
-            ids = pa.array([p[0] for p in pairs], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*out.columns, ids, pa.array([p[1] for p in pairs], pa.string())],
-                                             [*out.schema.names, "piece_ids", "decoded"])
+        for whole in batches:
+            for first in range(0, whole.num_rows, 64):
+                batch = whole.slice(first, 64)
+                pairs = table.encode([t.as_py() or "" for t in batch.column("__text")])
+                out = batch.drop_columns(["__text"])
+                ends = np.cumsum([0] + [len(p[0]) for p in pairs])
+                flat = np.fromiter(chain.from_iterable(p[0] for p in pairs), np.int32, ends[-1])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*out.columns, ids, pa.array([p[1] for p in pairs], pa.string())],
+                                                 [*out.schema.names, "piece_ids", "decoded"])
     return run
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,14 @@ def matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.zeros((0, 1))
 
 
+def by_length(batches):
+    """The batches cut so that all vectors ``v`` of one have the same length."""
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column("v"))
+        for d in pc.unique(sizes).to_pylist():
+            yield batch.filter(pc.equal(sizes, d))
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -61,9 +70,7 @@ def fit_centroids(sample: np.ndarray, k: int) -> np.ndarray:
 def _assigner(shared, probes: int):
     def run(batches):
         centers = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in by_length(batches):
             x = unit(matrix(batch.column("v")))
             same = centers.get(x.shape[1])
             scores = x @ same.T
@@ -194,9 +201,7 @@ def _searcher(least: float):
 def _audited(shared, least: float):
     def run(batches):
         x, dims = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in by_length(batches):
             y = matrix(batch.column("v"))
             mult = batch.column("mult").to_numpy()
             total = [int(mult[(y @ q) >= least].sum()) if d == y.shape[1] else 0 for q, d in zip(x, dims)]
