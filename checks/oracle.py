@@ -11,7 +11,7 @@ from __future__ import annotations
 
 
 def uid(kind: str, expr: str) -> str:
-    return f"('{kind}-0000-4000-8000-' || lpad(CAST({expr} AS VARCHAR), 12, '0'))"
+    return f"('{kind}-0000-4000-8000-' || lpad(CAST({expr} AS VARCHAR), greatest(12, length(CAST({expr} AS VARCHAR)))::INTEGER, '0'))"
 
 
 PRICE = "1fceb11c-7a89-49d6-8ef0-2a42c58556a2"
@@ -214,15 +214,20 @@ WHERE li.material_type_name = 'DAYUSE-ITEM'
 GROUP BY 1""")
 
 ORACLE["fee_balances"] = q("""
-SELECT CAST(o_orderdate AS DATE)::VARCHAR AS fee_date, ou.barcode AS stc_id, ou.group_name AS patron_profile,
+SELECT CAST(o_orderdate AS DATE)::VARCHAR AS fee_date, ou.barcode AS patron_barcode, ou.group_name AS patron_profile,
        ou.username, ou.last_name, ou.first_name, ot.barcode, p.p_name AS item_title,
        CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS VARCHAR) AS fee_balance
 FROM orders
 LEFT JOIN ou ON ou.ck = o_custkey
-LEFT JOIN ot ON ot.ik = o_orderkey % 400
-LEFT JOIN part p ON p.p_partkey = (o_orderkey % 400) // 2
+LEFT JOIN (SELECT l_orderkey, s.ln AS ln, s.pk AS pk FROM (SELECT l_orderkey,
+             min(struct_pack(ln := l_linenumber, pk := l_partkey)) AS s FROM lineitem GROUP BY 1)) f
+       ON f.l_orderkey = o_orderkey
+LEFT JOIN ot ON ot.ik = f.pk * 2 + f.ln % 2
+LEFT JOIN part p ON p.p_partkey = f.pk
 WHERE CAST(o_totalprice AS DECIMAL(12, 2)) BETWEEN 400.00 AND 1000000.00""")
 
+ORACLE["fee_balances_high"] = ORACLE["fee_balances"].replace("BETWEEN 400.00 AND 1000000.00", "BETWEEN 400000.00 AND 450000.00")
+
 ORACLE["item_link"] = q("""
 SELECT '<a href="https://library.example.edu/inventory?filters=staffSuppress.false&qindex=items.barcode&query='
        || barcode || '&segment=items&sort=title">' || barcode || '</a>' AS link
@@ -374,6 +379,9 @@ WHERE ihi.call_number >= 'A'
   AND len(ot.price_notes) + len(ot.staff_notes) + len(ot.po_notes) > 0""")
 
 
+ORACLE["call_number_list_range"] = ORACLE["call_number_list"].replace("call_number >= 'A'", "call_number BETWEEN 'QA' AND 'QA 3'")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 

@@ -32,7 +32,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import regex
 
 from shelfmark.functions.stemmer import stem
 
@@ -112,7 +111,7 @@ class Or:
 def _normalise(word: str, config: str) -> list[str]:
     """Lexemes of one query word or phrase text ('' marks a stop word)."""
     out = []
-    for tok in regex.split(TOKEN_SPLIT, word.lower()):
+    for tok in re.split(r"[\W_]+", word.lower()):
         if not tok:
             continue
         if config == "english":

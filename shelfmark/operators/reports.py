@@ -128,10 +128,12 @@ def call_number_list(cat: Catalogue, start_cn: str, end_cn: str | None = None, s
     notes = cat.derived("item_notes").groupBy("item_id").agg(
         distinct_join(F.when(F.col("note_type_name") == "Staff Note", F.col("note"))).alias("item_notes"))
     renewal_items = cat.derived("loans_renewal_count").select("item_id")
-    # One aggregation of the loans: distinct loan states with their counts; the total
-    # per item is the sum over its states (a second, much smaller aggregation).
-    loan_states = cat.derived("loans_items").groupBy(
-        "item_id", "item_status", "loan_date", "loan_return_date", "renewal_count").agg(F.count(F.lit(1)).alias("n"))
+    # One aggregation of the loans of the selected items: distinct loan states with their
+    # counts; the total per item is the sum over its states (a second, much smaller
+    # aggregation).  The filter on n keeps both uses equal, so Spark shares one exchange.
+    loan_states = (cat.derived("loans_items").join(base.select("item_id"), "item_id", "left_semi")
+                   .groupBy("item_id", "item_status", "loan_date", "loan_return_date", "renewal_count")
+                   .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 0))
     checkouts = loan_states.groupBy("item_id").agg(F.sum("n").alias("total_checkouts"))
 
     # The per-instance side first, then every per-item side, so that when the joins are
@@ -151,7 +153,9 @@ def call_number_list(cat: Catalogue, start_cn: str, end_cn: str | None = None, s
         "cataloged_date", "statistical_code_name", "item_status", "loan_date", "loan_return_date",
         "renewal_count", F.coalesce("total_checkouts", F.lit(0)).cast("int").alias("total_checkouts"),
         "item_notes", "instance_identifiers", "instance_publication", "subjects")
-    return _sorted(out, sort, F.col("call_number").asc_nulls_last())
+    # Barcode and loan date break ties, so a frequent call number can be split over tasks.
+    return _sorted(out, sort, F.col("call_number").asc_nulls_last(), F.col("barcode").asc_nulls_last(),
+                   F.col("loan_date").asc_nulls_last())
 
 
 # --------------------------------------------------------------------------- R2
@@ -406,7 +410,7 @@ def fee_balances(cat: Catalogue, min_fee: float | str = "400.00", max_fee: float
         F.col("j.itemId").alias("item_id"), F.col("j.title").alias("item_title"),
         F.col("j.remaining").alias("remaining")).filter(F.col("remaining").between(lo, hi))
     users = cat.doc("users").select(
-        F.col("id").alias("user_id"), F.col("j.barcode").alias("stc_id"), F.col("j.username").alias("username"),
+        F.col("id").alias("user_id"), F.col("j.barcode").alias("patron_barcode"), F.col("j.username").alias("username"),
         F.col("j.personal.lastName").alias("last_name"), F.col("j.personal.firstName").alias("first_name"),
         F.col("j.patronGroup").alias("group_id"))
     groups = cat.doc("groups").select(F.col("id").alias("group_id"), F.col("j.group").alias("patron_profile"))
@@ -414,7 +418,7 @@ def fee_balances(cat: Catalogue, min_fee: float | str = "400.00", max_fee: float
     rows = acc.join(users, "user_id", "left").join(groups, "group_id", "left").join(items, "item_id", "left")
     out = rows.select(
         F.col("updated").cast("date").cast("string").alias("fee_date"),
-        "stc_id", "patron_profile", "username", "last_name", "first_name", "barcode", "item_title",
+        "patron_barcode", "patron_profile", "username", "last_name", "first_name", "barcode", "item_title",
         F.col("remaining").cast("decimal(38,2)").cast("string").alias("fee_balance"),
         "remaining")
     out = _sorted(out, sort, F.col("fee_date").desc_nulls_first(), F.col("username").asc_nulls_last(),
@@ -423,6 +427,7 @@ def fee_balances(cat: Catalogue, min_fee: float | str = "400.00", max_fee: float
 
 
 # --------------------------------------------------------------------------- R8
+# fixed values: the inventory view's address
 LINK_PREFIX = "https://library.example.edu/inventory?filters=staffSuppress.false&qindex=items.barcode&query="
 LINK_SUFFIX = "&segment=items&sort=title"
 
@@ -452,12 +457,6 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
     checkout_loc = cat.doc("location").select(F.col("id").alias("checkout_location_id"),
                                               F.col("j.campusId").alias("checkout_campus_id"))
     checkout_campus = _doc_names(cat, "loccampus", "checkout_campus_id", "checkout_campus")
-    # The instance/holdings joins of the reference's loan CTE only re-check that the
-    # item exists; the outer query requires the same, so they are not repeated here.
-    loans = (open_loans.join(users, "user_id").join(checkout_loc, "checkout_location_id")
-             .join(checkout_campus, "checkout_campus_id")
-             .select("item_id", "due_date", "user_barcode", "full_name", "phone", "email", "checkout_campus"))
-
     hr = cat.raw("holdings_record").select(F.col("id").alias("holdings_id"), F.col("instanceid").alias("instance_id"),
                                            F.col("permanentlocationid").alias("home_location_id"))
     hl = _locations(cat, "home_location_id", home_location="location_name", item_library="library_name",
@@ -487,6 +486,12 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
         .join(mt, "mt_id")
         .filter(rule)
     )
+    # Only the open loans of the selected items meet the patrons.  The item exists in both
+    # roles, so its instance and holdings are not joined again.
+    loans = (open_loans.join(rows.select("item_id"), "item_id", "left_semi")
+             .join(users, "user_id").join(checkout_loc, "checkout_location_id")
+             .join(checkout_campus, "checkout_campus_id")
+             .select("item_id", "due_date", "user_barcode", "full_name", "phone", "email", "checkout_campus"))
     # One item may hold many open loans (the right side is skewed on item_id).
     rows = left_join_skewed_right(rows, loans, "item_id")
     out = rows.select(
@@ -502,16 +507,3 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
         jt.note_text(F.col("it.notes"), jt.STAFF_NOTE).alias("staff_notes"))
     return _sorted(out, sort, F.col("item_barcode").asc_nulls_last())
 
-
-REPORTS = {
-    "call_number_list": call_number_list,
-    "equipment_checkouts": equipment_checkouts,
-    "loan_list": loan_list,
-    "inventory_search": inventory_search,
-    "item_details": item_details,
-    "location_checkout_counts": location_checkout_counts,
-    "fee_balances": fee_balances,
-    "item_link": item_link,
-    "semester_loans": semester_loans,
-    "subject_search": subject_search,
-}

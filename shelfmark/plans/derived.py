@@ -195,12 +195,3 @@ DERIVED = {
     "instance_subject_lexemes": instance_subject_lexemes,
     "item_loan_stats": item_loan_stats,
 }
-
-
-def materialize(cat: Catalogue, path: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Write derived tables as Parquet under ``path`` and return readers for them."""
-    out = {}
-    for name in names or list(DERIVED):
-        DERIVED[name](cat).write.mode("overwrite").parquet(f"{path}/{name}")
-        out[name] = cat.spark.read.parquet(f"{path}/{name}")
-    return out

@@ -20,10 +20,7 @@ def left_join_skewed_right(left: DataFrame, right: DataFrame, key: str) -> DataF
     key, so that side cannot be skewed).  Same rows as the outer join, including NULL
     keys on the left, which never match.
     """
-    # Hash-partition both inputs on the key once: the two branches then share the same
-    # exchanges (Spark reuses them) and both joins consume that partitioning directly.
-    left = left.repartition(key)
-    right = right.repartition(key)
+    # No explicit repartition: AQE splits only the exchanges that the planner itself adds.
     matched = left.join(right, key, "inner")
     right_keys = right.select(key).distinct()
     unmatched = left.join(right_keys, key, "left_anti")

@@ -2,7 +2,7 @@
 
 The reports are defined in UTC (``date(loan_date)``, ``timestamptz`` casts), so the
 session time zone is pinned.  ANSI mode stays on: a bad cast raises instead of
-silently producing NULL, and the code uses ``try_cast`` where a NULL is intended.
+silently producing NULL; a malformed date or number in the source stops the load.
 """
 
 from __future__ import annotations
@@ -57,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="shelfmark-ckpt-", dir=os.environ.get("SHELFMARK_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
         try:
@@ -66,19 +68,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin an under-split input over the cluster's task slots.
+def spread(df):
+    """Round-robin an input over the session's shuffle partitions.
 
     A scan has one task per file split; a source written as one large row group gives a
-    single task however big the text is.  Only when the scan has fewer partitions than
-    the default parallelism is it repartitioned (one shuffle of that input); a large
-    input, which already has many splits, is returned unchanged.
+    single task however big the text is, and the documents built from it are far wider.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

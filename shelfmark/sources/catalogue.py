@@ -47,13 +47,14 @@ LEVELS = ("doc", "flat", "derived")
 
 # Stored layout: tables the reports filter by a range are range-partitioned and sorted
 # on that column, so Parquet file and row-group statistics skip what is out of range
-# (call-number ranges in R1/R4, loan-date ranges in R2/R3/R6, barcode lookup in R8).
+# (call-number ranges in R1/R4, loan-date ranges in R2/R3/R6, barcode lookup in R8).  The id
+# behind it splits a frequent or NULL value over several ranges.
 LAYOUT = {
-    "flat/holdings_record": "call_number",
-    "flat/item": "barcode",
-    "flat/loan": "loan_date",
-    "derived/items_holdings_instances": "call_number",
-    "derived/loans_items": "loan_date",
+    "flat/holdings_record": ("call_number", "id"),
+    "flat/item": ("barcode", "id"),
+    "flat/loan": ("loan_date", "id"),
+    "derived/items_holdings_instances": ("call_number", "item_id"),
+    "derived/loans_items": ("loan_date", "loan_id"),
 }
 
 
@@ -106,24 +107,32 @@ def _write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    # One step that replaces the file, so that a reader never finds it missing.
+    jvm = spark.sparkContext._jvm
+    modes = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    modes[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), modes)
 
 
 def _source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     h = hashlib.sha1(sf_dir.rstrip("/").encode())
     if _jvm_available(spark):
         fs, p = _hadoop_fs(spark, sf_dir)
-        for status in sorted(fs.listStatus(p), key=lambda s: s.getPath().getName()):
-            h.update(f"{status.getPath().getName()}:{status.getLen()}:{status.getModificationTime()}".encode())
+        files, found = fs.listFiles(p, True), []  # a table may be a folder of files
+        while files.hasNext():
+            status = files.next()
+            found.append(f"{status.getPath().toString()}:{status.getLen()}:{status.getModificationTime()}")
+        for line in sorted(found):
+            h.update(line.encode())
     else:
-        for name in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, name))
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime * 1000)}".encode())
-    # The stored levels depend only on the source and derived-table definitions.
+        for root, _, names in sorted(os.walk(sf_dir)):
+            for name in sorted(names):
+                st = os.stat(os.path.join(root, name))
+                h.update(f"{root}/{name}:{st.st_size}:{int(st.st_mtime * 1000)}".encode())
+    # The stored levels depend on the source, derived-table and text-function definitions.
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for root, _, files in sorted(w for d in ("sources", "plans") for w in os.walk(os.path.join(pkg, d))):
+    for root, _, files in sorted(w for d in ("sources", "plans", "functions") for w in os.walk(os.path.join(pkg, d))):
         for name in sorted(files):
             if name.endswith(".py"):
                 with open(os.path.join(root, name), "rb") as fh:
@@ -193,9 +202,9 @@ class Catalogue:
         ranges = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
         def write(df: DataFrame, rel: str) -> None:
-            column = LAYOUT.get(rel)
-            if column:
-                df = df.repartitionByRange(ranges, column).sortWithinPartitions(column)
+            columns = LAYOUT.get(rel)
+            if columns:
+                df = df.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
             df.write.mode("overwrite").parquet(f"{path}/{rel}")
 
         def write_all(jobs: dict[str, Callable[[], DataFrame]]) -> None:

@@ -79,13 +79,17 @@ PATRON_GROUPS = [
 LOCATION_SUFFIXES = [" General", " CLE", " Open Lab"]
 STORAGE_NATION = 24
 N_LOCATIONS = 25
-# Accounts point at item key o_orderkey % 400 (400 items exist at every scale).
-ACCOUNT_ITEMS = 400
+
+
+def padded(k: Column, width: int) -> Column:
+    """``k`` as text, zero-padded to ``width`` digits; a longer number keeps all its digits."""
+    text = k.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def uid(kind: str, k: Column) -> Column:
     """``kind-0000-4000-8000-<k padded to 12 digits>``."""
-    return F.concat(F.lit(f"{KIND[kind]}-0000-4000-8000-"), F.lpad(k.cast("string"), 12, "0"))
+    return F.concat(F.lit(f"{KIND[kind]}-0000-4000-8000-"), padded(k, 12))
 
 
 def iso_text(ts: Column) -> Column:
@@ -120,7 +124,7 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     def read(name: str, spread_out: bool = True) -> DataFrame:
         # The documents are built by wide projections (JSON encoding); an input that
-        # arrives as fewer splits than task slots is spread first (no-op when large).
+        # may arrive as a few large splits is spread first.
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         return spread(df) if spread_out else df
 
@@ -228,7 +232,7 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         mtype.alias("materialtypeid"),
         uid("loan_type", ikey % 3).alias("permanentloantypeid"),
         F.when(ikey % 5 == 0, uid("loan_type", F.lit(3))).alias("temporaryloantypeid"),
-        _doc(F.concat(F.lit("3"), F.lpad(ikey.cast("string"), 13, "0")).alias("barcode"),
+        _doc(F.concat(F.lit("3"), padded(ikey, 13)).alias("barcode"),
              (F.col("copy") + 1).cast("string").alias("copyNumber"),
              mtype.alias("materialTypeId"),
              F.struct(_pick(ITEM_STATUSES, ikey % 4).alias("name")).alias("status"),
@@ -242,7 +246,7 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     group_idx = _index_of([s for s, _ in PATRON_GROUPS], F.col("c_mktsegment"))
     t["users"] = customer.select(
         uid("user", ck).alias("id"),
-        _doc(F.concat(F.lit("2"), F.lpad(ck.cast("string"), 13, "0")).alias("barcode"),
+        _doc(F.concat(F.lit("2"), padded(ck, 13)).alias("barcode"),
              username.alias("username"),
              uid("group", group_idx).alias("patronGroup"),
              F.struct(F.when(ck % 10 != 0, F.concat(F.lit("First"), ck.cast("string"))).alias("firstName"),
@@ -272,13 +276,13 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
              F.when(F.col("l_suppkey") % 13 != 0, uid("location", F.col("l_suppkey") % N_LOCATIONS)
                     ).alias("itemEffectiveLocationIdAtCheckOut")).alias("jsonb"))
 
-    # --- fee accounts: one per order; the title comes from one of 400 fixed items ------
-    # The title side is at most ACCOUNT_ITEMS / 2 parts, so broadcasting it is bounded.
-    titles = F.broadcast(part.filter(F.col("p_partkey") < ACCOUNT_ITEMS // 2)
-                         .select(F.col("p_partkey").alias("title_part"), F.col("p_name").alias("title")))
-    acct = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
-                         (F.col("o_orderkey") % ACCOUNT_ITEMS).alias("item_key"))
-    acct = acct.join(titles, F.floor(acct.item_key / 2) == titles.title_part, "left")
+    # --- fee accounts: one per order, about the item of the order's first line ----------
+    first = (lineitem.groupBy("l_orderkey").agg(F.min(F.struct("l_linenumber", "l_partkey")).alias("line"))
+             .select(F.col("l_orderkey").alias("o_orderkey"), F.col("line.l_partkey").alias("title_part"),
+                     (F.col("line.l_partkey") * 2 + F.col("line.l_linenumber") % 2).alias("item_key")))
+    titles = part.select(F.col("p_partkey").alias("title_part"), F.col("p_name").alias("title"))
+    acct = (orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+            .join(first, "o_orderkey", "left").join(titles, "title_part", "left"))
     t["accounts"] = acct.select(
         uid("account", F.col("o_orderkey")).alias("id"),
         _doc(uid("user", F.col("o_custkey")).alias("userId"),
