@@ -21,13 +21,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, prepare, with_defaults
+from .common import materialize, prepare, settings, with_defaults
 from .components import connected_components
 from .kernels import U, codes, gram_sets, mix, slices, word_hashes, words
 
 SUBS = 8
 ROWS = 2
 
+# Of all texts only the candidates' are needed again.  Where their ids are too many to broadcast,
+# Spark's runtime Bloom filter (64 Mbit at most, whatever the corpus) keeps most other texts out of
+# the shuffle; it is built over a filtered scan only, so the candidates are read under a filter.
+RUNTIME_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(1 << 26),
+}
+
 SIGNATURE = "doc_id long, n_shingles long, s1 long, s2 long, subs array<long>"
 
 
@@ -154,8 +164,10 @@ def _class_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> D
     stars = bands.groupBy("key").agg(F.min("rep").alias("u"), F.count("*").alias("members")).where("members > 1")
     stars = bands.join(stars, "key").where("rep <> u").select("u", F.col("rep").alias("v"), F.col("n").alias("n_v"))
     stars = materialize(stars.distinct(), "stars")
-    ids = stars.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    sets = materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_writer(k), "id long, grams array<long>"), "sets")
+    ids = stars.select(F.explode(F.array("u", "v")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("stars"))
+    ids = materialize(ids, "candidates").where("stars > 0")
+    with settings(docs.sparkSession, RUNTIME_FILTER):
+        sets = materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_writer(k), "id long, grams array<long>"), "sets")
 
     # A shingle that only one candidate has is in no intersection; m = |set| - such shingles.
     # |intersection| <= m and |union| >= |set|, so a document with too small an m has no link.
