@@ -1,16 +1,15 @@
-"""Near-duplicate embeddings by a robust-pruned flat graph over overlapping cluster shards.
+"""Near-duplicate embeddings by exact comparison in overlapping cluster shards.
 
 1. Equal vectors become one class with a count.  Centroids are fitted on a bounded sample; every
    class goes to the shards of its ``probes`` nearest centroids, so shards overlap.  A cluster of more than
    ``BLOCK`` classes is dealt into blocks, and every pair of its blocks is a shard of its own, so no
    task holds more than 2 * BLOCK classes.
-2. Every shard builds a graph: of each point's nearest candidates, robust pruning (alpha) keeps those
-   that no kept neighbour is closer to.  The adjacency lists of all shards are united per point.
-3. Every shard searches its members on the united lists: greedy beam search from the shard's medoid,
-   then expansion from node to node as long as nodes are in range (with a margin).
-4. Similarity in double precision decides.  A pair is counted in one shard only (the first cluster
-   that both share); only counts and local components leave a shard, never pairs.
-5. Recall is audited against brute force for ``AUDIT`` hash-chosen classes; below ``RECALL`` the
+2. Every shard compares all its classes with each other, exactly, in double precision: at most
+   (2 * BLOCK)**2 products a task.  A graph search in the shard is no cheaper, as building the graph takes the same
+   products, and it loses small groups beside a large one.
+3. A pair is counted in one shard only (the first cluster that both share), for both its ends; only counts
+   and local components leave a shard, never pairs.
+4. Recall is audited against brute force for ``AUDIT`` hash-chosen classes; below ``RECALL`` the
    whole is done again with more probes.
 """
 
@@ -29,7 +28,6 @@ CELL = 1500  # classes a cluster, about
 BLOCK = 4000
 FIT = 20_000  # bounded sample that the centroids are fitted on
 MOST_CELLS = 2000
-POOL, DEGREE, ALPHA, BEAM, MARGIN = 48, 16, 1.2, 32, 0.1
 AUDIT, RECALL = 200, 0.97
 
 
@@ -82,100 +80,24 @@ def _assigner(shared, probes: int):
     return run
 
 
-def pruned_graph(x: np.ndarray) -> list[np.ndarray]:
-    """Robust-pruned neighbours of every row of x (unit vectors), nearest first."""
-    n, out = len(x), []
-    pool = min(POOL, n - 1)
-    for i in range(0, n, 256):
-        sims = x[i:i + 256] @ x.T
-        sims[np.arange(len(sims)), np.arange(i, i + len(sims))] = -2.0
-        if pool < 1:
-            out += [np.zeros(0, np.int64)] * len(sims)
-            continue
-        best = np.argpartition(-sims, pool - 1, axis=1)[:, :pool]
-        for row, cand in zip(sims, best):
-            cand = cand[np.argsort(-row[cand], kind="stable")]
-            far = np.sqrt(np.maximum(2 - 2 * row[cand], 0))
-            between = np.sqrt(np.maximum(2 - 2 * (x[cand] @ x[cand].T), 0))
-            alive, kept = np.ones(len(cand), bool), []
-            for j in range(len(cand)):
-                if alive[j]:
-                    kept.append(cand[j])
-                    if len(kept) == DEGREE:
-                        break
-                    alive &= ALPHA * between[j] > far
-            out.append(np.array(kept))
-    return out
-
-
-def _builder(table: pa.Table) -> pa.Table:
-    ids = table["rep"].to_numpy()
-    graph = pruned_graph(matrix(table["v"]))
-    back: list[list[int]] = [[] for _ in ids]
-    for i, row in enumerate(graph):
-        for j in row:
-            back[j].append(i)
-    lists = [ids[np.unique(np.concatenate([row, np.array(b[:DEGREE], np.int64)]).astype(np.int64))] for row, b in zip(graph, back)]
-    return pa.table({"rep": table["rep"], "near": pa.array(lists, pa.list_(pa.int64()))})
-
-
-def search(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, least: float):
-    """Nodes in range of every query: beam search from the medoid, then range expansion.
-
-    adjacency: node x degree, padded with -1.
-    """
-    medoid = int((x @ x.mean(axis=0)).argmax())
-    for i in range(0, len(queries), 128):
-        own = queries[i:i + 128]
-        q = len(own)
-        rows = np.arange(q)
-        seen = np.zeros((q, len(x) + 1), bool)
-        seen[:, -1] = True  # the padding
-        seen[:, medoid] = True
-        beam, score = np.full((q, BEAM), -1), np.full((q, BEAM), -3.0)
-        done = np.ones((q, BEAM), bool)
-        beam[:, 0], score[:, 0], done[:, 0] = medoid, x[own] @ x[medoid], False
-        while not done.all():
-            pick = np.where(done, -4.0, score).argmax(axis=1)
-            active = ~done[rows, pick]
-            done[rows, pick] = True
-            near = np.where(active[:, None], adjacency[beam[rows, pick]], -1)
-            near = np.where(seen[rows[:, None], near], -1, near)
-            seen[rows[:, None], near] = True
-            sims = np.where(near >= 0, np.einsum("qd,qrd->qr", x[own], x[near]), -3.0)
-            every = np.concatenate([score, sims], axis=1)
-            keep = np.argsort(-every, axis=1, kind="stable")[:, :BEAM]
-            beam = np.take_along_axis(np.concatenate([beam, near], axis=1), keep, axis=1)
-            done = np.take_along_axis(np.concatenate([done, near < 0], axis=1), keep, axis=1)
-            score = np.take_along_axis(every, keep, axis=1)
-        for r in rows:
-            me = own[r]
-            found = {int(b) for b, s in zip(beam[r], score[r]) if s >= least - MARGIN}
-            front = np.array(sorted(found), np.int64)
-            hits = []
-            while len(front):
-                sims = x[front] @ x[me]
-                hits.append(front[sims >= least])
-                near = np.unique(adjacency[front[sims >= least - MARGIN]])
-                near = near[near >= 0]
-                front = np.array([j for j in near.tolist() if j not in found], np.int64)
-                found.update(front.tolist())
-            hits = np.concatenate(hits) if hits else np.zeros(0, np.int64)
-            yield int(me), hits[hits != me]
-
-
-def _searcher(least: float):
+def links_among(x: np.ndarray, least: float):
+    """(first row, in range) for blocks of rows of x (unit vectors): all rows against all, exact."""
+    for i in range(0, len(x), 256):
+        near = x[i:i + 256] @ x.T >= least
+        near[np.arange(len(near)), np.arange(i, i + len(near))] = False
+        yield i, near
+
+
+def _comparer(least: float):
     def run(table: pa.Table) -> pa.Table:
         ids, mult, block = (table[c].to_numpy() for c in ("rep", "mult", "block"))
         cell, a, b = (table[c][0].as_py() for c in ("cell", "a", "b"))
         x = matrix(table["v"])
-        place = {int(v): i for i, v in enumerate(ids)}
-        lists = [[place[n] for n in row if n in place] for row in table["near"].to_pylist()]
-        width = max(1, max(map(len, lists)))
-        adjacency = np.full((len(ids), width), -1, np.int64)
-        for i, row in enumerate(lists):
-            adjacency[i, :len(row)] = row
-        cells = table["cells"].to_pylist()
+        # class x earlier cell: a pair that shares one is counted there
+        row, earlier = zip(*[(i, c) for i, cs in enumerate(table["cells"].to_pylist()) for c in cs if c < cell] or [(0, -1)])
+        names, column = np.unique(earlier, return_inverse=True)
+        before = np.zeros((len(ids), len(names)), np.float32)
+        before[row, column] = names[column] >= 0
         links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
 
         def find(i):
@@ -184,15 +106,17 @@ def _searcher(least: float):
                 i = root[i]
             return i
 
-        mine = [set(c) for c in cells]
-        for me, hits in search(x, adjacency, np.arange(len(ids)), least):
-            for j in hits.tolist():
-                u, v = find(me), find(j)
-                if u != v:
-                    low, high = (u, v) if ids[u] < ids[v] else (v, u)
-                    root[high] = low
-                if (a == b or block[me] != block[j]) and min(mine[me] & mine[j]) == cell:
-                    links[me] += mult[j]
+        for i, near in links_among(x, least):
+            for me, hits in enumerate(near, i):
+                for j in np.unique(root[np.flatnonzero(hits)]).tolist():
+                    u, v = find(me), find(j)
+                    if u != v:
+                        low, high = (u, v) if ids[u] < ids[v] else (v, u)
+                        root[high] = low
+            near &= before[i:i + len(near)] @ before.T == 0
+            if a != b:
+                near &= block[i:i + len(near), None] != block
+            links[i:i + len(near)] = near @ mult
         comp = np.array([ids[find(i)] for i in range(len(ids))], np.int64)
         return pa.table({"rep": table["rep"], "links": pa.array(links), "comp": pa.array(comp)})
     return run
@@ -268,9 +192,7 @@ def _search_shards(placed: DataFrame, least: float) -> DataFrame:
                         lambda o: F.struct(F.least(o, F.col("block")).alias("a"), F.greatest(o, F.col("block")).alias("b")))
     shards = spread.select("dim", "cell", "rep", "mult", "v", "cells", "block", F.explode(pairs).alias("s"))
     shards = materialize(shards.select("dim", "cell", "rep", "mult", "v", "cells", "block", "s.a", "s.b"), "shards")
-    near = shards.groupBy("dim", "cell", "a", "b").applyInArrow(_builder, "rep long, near array<long>")
-    near = near.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    hits = (shards.join(near, "rep").groupBy("dim", "cell", "a", "b").applyInArrow(_searcher(least), "rep long, links long, comp long"))
+    hits = shards.groupBy("dim", "cell", "a", "b").applyInArrow(_comparer(least), "rep long, links long, comp long")
     hits = materialize(hits, "hits")
     comp = connected_components(hits, "rep", "comp").withColumnRenamed("node", "rep")
     return hits.groupBy("rep").agg(F.sum("links").alias("links")).join(comp, "rep", "left")

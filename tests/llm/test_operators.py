@@ -312,6 +312,20 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
     assert vectors.embedding_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_small_groups_beside_a_large_one(spark):
+    rng = np.random.default_rng(4)
+    sizes = [1000] + [60] * 8 + [10] * 20 + [2] * 100 + [1] * 700
+    base = rng.normal(size=(len(sizes), 64))
+    x = np.repeat(base, sizes, axis=0) + rng.normal(size=(sum(sizes), 64)) * 0.25
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in vectors.embedding_near_duplicates(df).collect()}
+    near = x @ x.T >= 0.9
+    want = roots(range(len(x)), zip(*np.nonzero(np.triu(near, 1))))
+    assert [got[i].n_links for i in range(len(x))] == (near.sum(axis=1) - 1).tolist()
+    assert [got[i].component_id for i in range(len(x))] == [want[i] for i in range(len(x))]
+
+
 def test_language_id_held_out(spark, empty):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     odd = spark.createDataFrame([(5000, None, None), (5001, "", "en"), (5002, "123 — 4!", "fr"), (None, "the and of that", None), (5003, "z" * 3000, None)],
