@@ -9,12 +9,15 @@
    products, and it loses small groups beside a large one.
 3. A pair is counted in one shard only (the first cluster that both share), for both its ends; only counts
    and local components leave a shard, never pairs.
-4. Recall is audited against brute force for ``AUDIT`` hash-chosen classes; below ``RECALL`` the
-   whole is done again with more probes.
+4. Recall is audited against brute force for ``AUDIT`` hash-chosen classes of each size of group, as the mean
+   per class, over all and per group size, so large groups do not outweigh small ones.  Below ``RECALL`` the
+   whole is done again with more probes; where those would be all cells, in one cell, which compares all pairs.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,7 +31,7 @@ CELL = 1500  # classes a cluster, about
 BLOCK = 4000
 FIT = 20_000  # bounded sample that the centroids are fitted on
 MOST_CELLS = 2000
-AUDIT, RECALL = 200, 0.97
+AUDIT, SEEN, RECALL = 200, 20, 0.97
 
 
 def matrix(column) -> np.ndarray:
@@ -124,12 +127,13 @@ def _comparer(least: float):
 
 def _audited(shared, least: float):
     def run(batches):
-        x, dims = shared.value
+        samples, n = shared.value  # by dimension: places in the sample, vectors
         for batch in by_length(batches):
-            y = matrix(batch.column("v"))
-            mult = batch.column("mult").to_numpy()
-            total = [int(mult[(y @ q) >= least].sum()) if d == y.shape[1] else 0 for q, d in zip(x, dims)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(x)), pa.int32()), pa.array(total, pa.int64())], ["q", "n"])
+            y, total = matrix(batch.column("v")), np.zeros(n, np.int64)
+            at, x = samples.get(y.shape[1], ([], None))
+            if len(at):
+                total[at] = batch.column("mult").to_numpy() @ (y @ x.T >= least)
+            yield pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array(total, pa.int64())], ["q", "n"])
     return run
 
 
@@ -172,15 +176,17 @@ def _classes_linked(classes: DataFrame, least: float, probes: int) -> DataFrame:
     centers = {d: fit_centroids(unit(np.array(v)), max(1, min(MOST_CELLS, -(-total // CELL), len(v)))) for d, v in by_dim.items()}
     for d, k in classes.groupBy(F.size("v").alias("d")).count().collect():  # a length that the sample missed
         centers.setdefault(d, np.eye(1, d))
+    cells = max(map(len, centers.values()), default=0)
     while True:
         placed = materialize(classes.mapInArrow(_assigner(spark.sparkContext.broadcast(centers), probes),
                                                 "rep long, mult long, v array<double>, dim int, cells array<int>"), "placed")
-        found = _search_shards(placed, least)
-        found = materialize(found, "found")
-        recall = _recall(placed, found, least)
-        if recall >= RECALL or probes >= max(len(c) for c in centers.values()):
+        found = materialize(_search_shards(placed, least), "found")
+        # one cell a dimension, or every class in all cells: every pair was compared
+        if probes >= cells or _recall(placed, found, least) >= RECALL:
             return found
         probes *= 2
+        if probes >= cells:
+            centers = {d: c[:1] for d, c in centers.items()}
 
 
 def _search_shards(placed: DataFrame, least: float) -> DataFrame:
@@ -199,21 +205,32 @@ def _search_shards(placed: DataFrame, least: float) -> DataFrame:
 
 
 def _recall(placed: DataFrame, found: DataFrame, least: float) -> float:
-    """Found links of a bounded sample of classes against brute force over all classes."""
-    total = placed.count()
-    some = placed.join(found.where("links > 0"), "rep")
-    n = some.count()
-    # linked and unlinked classes alike: half the sample is drawn from each
-    def part(df, have):
-        return df.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, AUDIT / 2 / max(have, 1)))).select("rep", "v").collect()
-
-    sample = part(some, n) + part(placed, total)
-    if not sample:
+    """The least mean recall per class, over all audited classes and over those of each group size.
+
+    Classes are drawn by hash, ``AUDIT`` of each size class (power of 2) of found links, and weigh as
+    many classes as they stand for.  Brute force over all classes gives their true links; group sizes are
+    those of the true links, and one that fewer than ``SEEN`` audited classes have has no mean of its own.
+    """
+    have = placed.join(found, "rep").select("rep", "v", "mult", "links", F.floor(F.log2(F.col("links") + 1)).alias("size"))
+    have = materialize(have, "audit")
+    counts = {r["size"]: r["count"] for r in have.groupBy("size").count().collect()}  # at most 63
+    if not counts:
         return 1.0
-    spark = placed.sparkSession
-    shared = spark.sparkContext.broadcast(([np.array(r["v"]) for r in sample], [len(r["v"]) for r in sample]))
-    true = {r["q"]: r["n"] for r in placed.select("v", "mult").mapInArrow(_audited(shared, least), "q int, n long").groupBy("q").agg(F.sum("n").alias("n")).collect()}
-    own = {r["rep"]: (r["links"], r["mult"]) for r in placed.join(found, "rep").where(F.col("rep").isin([r["rep"] for r in sample])).select("rep", "links", "mult").collect()}
-    want = sum(true[i] - own[r["rep"]][1] for i, r in enumerate(sample))
-    have = sum(own[r["rep"]][0] for r in sample)
-    return have / want if want else 1.0
+    share = F.create_map(*[F.lit(v) for s, c in counts.items() for v in (s, min(1.0, AUDIT / c))])
+    sample = have.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < (1 << 20) * share[F.col("size")]).collect()
+    by_dim: dict[int, list[int]] = {}
+    for i, r in enumerate(sample):
+        by_dim.setdefault(len(r["v"]), []).append(i)
+    shared = placed.sparkSession.sparkContext.broadcast(({d: (at, np.array([sample[i]["v"] for i in at])) for d, at in by_dim.items()}, len(sample)))
+    true = placed.select("v", "mult").mapInArrow(_audited(shared, least), "q int, n long").groupBy("q").agg(F.sum("n").alias("n"))
+    true = {r["q"]: r["n"] for r in true.collect()}
+    drawn = Counter(r["size"] for r in sample)
+    parts: dict[int, list] = {}
+    for i, r in enumerate(sample):
+        want = true[i] - r["mult"]
+        if want > 0:
+            parts.setdefault(want.bit_length(), []).append((counts[r["size"]] / drawn[r["size"]], min(1.0, r["links"] / want)))
+    every = [x for rows in parts.values() for x in rows]
+    means = [float(np.average([x[1] for x in rows], weights=[x[0] for x in rows]))
+             for rows in [every, *parts.values()] if rows and (rows is every or len(rows) >= SEEN)]
+    return min(means, default=1.0)

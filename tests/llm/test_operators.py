@@ -326,6 +326,34 @@ def test_embeddings_small_groups_beside_a_large_one(spark):
     assert [got[i].component_id for i in range(len(x))] == [want[i] for i in range(len(x))]
 
 
+def test_recall_audit_sees_lost_small_groups(spark):
+    rng = np.random.default_rng(6)
+    sizes = [400] + [2] * 60 + [1] * 40
+    x = vectors.unit(np.repeat(rng.normal(size=(len(sizes), 32)), sizes, axis=0) + rng.normal(size=(sum(sizes), 32)) * 0.05)
+    near = (x @ x.T >= 0.9).sum(axis=1) - 1
+    placed = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "rep long, mult long, v array<double>")
+
+    def recall(links):
+        return vectors._recall(placed, spark.createDataFrame([(i, int(n)) for i, n in enumerate(links)], "rep long, links long"), 0.9)
+
+    assert recall(near) == 1.0
+    assert recall(np.where(near == 1, 0, near)) < 0.1  # all pairs lost
+    assert recall(np.where((near == 1) & (np.arange(len(x)) % 4 < 2), 0, near)) < 0.9  # some pairs lost
+
+
+def test_embeddings_without_a_shared_cell_are_found(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(150, 8))
+    x = vectors.unit(np.repeat(base, 4, axis=0) + rng.normal(size=(600, 8)) * 0.2)
+    monkeypatch.setattr(vectors, "CELL", 5)
+    seen = []
+    monkeypatch.setattr(vectors, "_recall", lambda *a, real=vectors._recall: seen.append(real(*a)) or seen[-1])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.embedding_near_duplicates(df, probes=1).collect()}
+    near = (x @ x.T >= 0.9).sum(axis=1) - 1
+    assert seen[0] < vectors.RECALL and np.mean([got[i] / n for i, n in enumerate(near) if n]) >= vectors.RECALL
+
+
 def test_language_id_held_out(spark, empty):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     odd = spark.createDataFrame([(5000, None, None), (5001, "", "en"), (5002, "123 — 4!", "fr"), (None, "the and of that", None), (5003, "z" * 3000, None)],
