@@ -5,8 +5,9 @@ words, or the whole of any other entity) in canonical form: an e-mail in lower c
 its digits.  Each distinct unit gets one surrogate of its type from a keyed digest, so equal
 entities in different formats get the same surrogate everywhere (coreference).  The table of
 units is then checked: where two units share a surrogate, or a surrogate is a real unit of the
-corpus, all but one draw again, until none collides (distinctness).  Surrogates keep the
-format: punctuation, letter case, digit places, a card's first digit and check digit, an
+corpus, all but one draw again, until none collides (distinctness).  From the third draw on, names,
+e-mails, passwords and short phone numbers get longer with every draw, so few rounds suffice however many units
+there are.  Surrogates keep the format: punctuation, letter case, digit places, a card's first digit and check digit, an
 address's octets, a title and with it the gender, and the script of a name.
 
 Texts are matched by digest, so copies are handled once; only texts with entities are rebuilt, from
@@ -82,6 +83,21 @@ def _masked(text: Column, seed: Column) -> Column:
     return F.array_join(F.transform(_letters(text), one), "")
 
 
+def _hidden(text: Column, seed: Column) -> Column:
+    """Every character replaced: letters and digits as in ``_masked``, those of other scripts and signs too."""
+    def one(c, i):
+        return (F.when(c.rlike(r"[0-9A-Za-z\s]"), c).when(c.rlike(r"\p{IsCyrillic}"), _pick(list("абвгдежзиклмнопрстуфхцчшэюя"), _draw(seed, i, 27)))
+                .when(c.rlike(r"[\p{L}\p{M}\p{N}]"), _pick(list("abcdefghijklmnopqrstuvwxyz"), _draw(seed, i, 26)))
+                .otherwise(_pick(list("#$%&*+-/=@^_~"), _draw(seed, i, 13))))
+    return F.array_join(F.transform(_letters(_masked(text, seed)), one), "")
+
+
+def _more(seed: Column, options: list[str]) -> Column:
+    """Nothing for the first two draws of a unit, then one option more with every draw."""
+    n = F.col("attempt") - 1
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: _pick(options, _draw(seed, i + 1000, len(options)))), "")).otherwise("")
+
+
 def _luhn(digits: Column) -> Column:
     """Check sum of a digit string, 0 if valid."""
     total = F.aggregate(F.transform(F.reverse(_letters(digits)), lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise(
@@ -96,12 +112,16 @@ def _card(canon: Column, seed: Column) -> Column:
 
 
 def _phone(canon: Column, seed: Column) -> Column:
-    """National number redrawn; the country code, and an area or exchange digit above 1, stay so."""
+    """National number redrawn; the country code, and an area or exchange digit above 1, stay so.
+
+    From the third draw on an exchange 555 is redrawn too, and a number of under 10 digits gets longer.
+    """
     def one(c, i):
         back = F.length(canon) - i  # 10: first digit of the area, 7: first of the exchange
-        keep = (back > 10) | ((F.length(canon) >= 10) & (back <= 7) & (back >= 5) & (F.substring(canon, -7, 3) == "555"))
+        keep = (back > 10) | ((F.length(canon) >= 10) & (back <= 7) & (back >= 5) & (F.substring(canon, -7, 3) == "555") & (F.col("attempt") < 2))
         return F.when(keep, c).when(back.isin(10, 7), (_draw(seed, i, 8) + 2).cast("string")).otherwise(_draw(seed, i, 10).cast("string"))
-    return F.array_join(F.transform(_letters(canon), one), "")
+    more = F.when(F.length(canon) < 10, _more(seed, list("0123456789"))).otherwise("")
+    return F.concat(F.array_join(F.transform(_letters(canon), one), ""), more)
 
 
 def _ip(canon: Column, seed: Column) -> Column:
@@ -110,7 +130,13 @@ def _ip(canon: Column, seed: Column) -> Column:
 
 def _secret(canon: Column, seed: Column) -> Column:
     cut = F.when(canon.startswith("AKIA"), 4).when(canon.contains("="), F.instr(canon, "=")).otherwise(0)
-    return F.concat(F.substring(canon, F.lit(1), cut), _masked(F.substring(canon, cut + 1, F.length(canon)), seed))
+    rest = F.substring(canon, cut + 1, F.length(canon))
+    # the sentence's marks after a password stay, if there is a password before them
+    body = F.regexp_extract(rest, r"^(.*?[^.,;:!?)\]}])[.,;:!?)\]}]*$", 1)
+    body = F.when(body == "", rest).otherwise(body)
+    tail = F.substring(rest, F.length(body) + 1, F.length(rest))
+    more = F.when(canon.contains("="), _more(seed, list("abcdefghijklmnopqrstuvwxyz0123456789"))).otherwise("")
+    return F.concat(F.substring(canon, F.lit(1), cut), _hidden(body, seed), more, tail)
 
 
 def _email(canon: Column, seed: Column) -> Column:
@@ -118,13 +144,13 @@ def _email(canon: Column, seed: Column) -> Column:
     last = F.substring_index(domain, ".", -1)
     owner = F.concat_ws("|", F.col("key"), F.lit("domain"), domain)  # one domain, one surrogate
     body = F.substring(domain, F.lit(1), F.length(domain) - F.length(last))
-    return F.concat(_masked(F.substring_index(canon, "@", 1), seed), F.lit("@"), _masked(body, owner), last)
+    return F.concat(_masked(F.substring_index(canon, "@", 1), seed), _more(seed, list("abcdefghijklmnopqrstuvwxyz0123456789")), F.lit("@"), _masked(body, owner), last)
 
 
 def _word(canon: Column, seed: Column, gender: str | None) -> Column:
     out = None
     for script, parts in SYLLABLES.items():
-        body = F.concat(*[_pick(parts, _draw(seed, i, len(parts))) for i in range(4 if gender is None else 3)])
+        body = F.concat(*[_pick(parts, _draw(seed, i, len(parts))) for i in range(4 if gender is None else 3)], _more(seed, parts))
         name = F.initcap(body if gender is None else F.concat(body, _pick(ENDINGS[gender, script], _draw(seed, 9, 5))))
         out = F.when(canon.rlike(r"\p{IsCyrillic}") if script == "cyrillic" else F.lit(True), name) if out is None else F.when(
             canon.rlike(r"\p{IsCyrillic}"), name).otherwise(out)
@@ -184,7 +210,12 @@ def _units(mentions: DataFrame) -> DataFrame:
 
 
 def _formatted(piece: Column, surrogate: Column, unit: Column) -> Column:
-    """A unit's surrogate in the format of one mention of it: places from the right, letter case."""
+    """A unit's surrogate in the format of one mention of it: places from the right, letter case.
+
+    What a longer surrogate has beyond the mention's places comes before the first of them.
+    """
+    places = F.length(F.regexp_replace(piece, "[^0-9A-Za-z]", ""))
+    surplus = F.when(F.length(surrogate) > places, F.substring(surrogate, F.lit(1), F.length(surrogate) - places)).otherwise("")
     filled = F.array_join(F.reverse(F.aggregate(
         F.reverse(_letters(piece)), F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("used")),
         lambda a, c: F.when(c.rlike("[0-9A-Za-z]") & (a["used"] < F.length(surrogate)),
@@ -192,6 +223,8 @@ def _formatted(piece: Column, surrogate: Column, unit: Column) -> Column:
                                      (a["used"] + 1).alias("used")))
         .otherwise(F.struct(F.concat(a["out"], F.array(c)).alias("out"), a["used"].alias("used"))))["out"]), "")
     upper = (piece == F.upper(piece)) & (piece != F.lower(piece))
+    lead = F.regexp_extract(filled, "^[^0-9A-Za-z]*", 0)
+    filled = F.concat(lead, surplus, F.substring(filled, F.length(lead) + 1, F.length(filled)))
     return (F.when(unit.isin("phone", "card", "ssn", "iban"), filled)
             .when(unit.isin("ip", "secret"), surrogate)
             .when(upper, F.upper(surrogate)).otherwise(surrogate))

@@ -17,7 +17,7 @@ from shelfmark.llm.license_scan import NOTICES, license_scan
 from shelfmark.llm.line_dedup import chunks, line_dedup
 from shelfmark.llm.near_dup import minhash_near_duplicates
 from shelfmark.llm.pieces import encode_decode
-from shelfmark.llm.pii import replace_pii
+from shelfmark.llm.pii import replace_pii, surrogate_table
 from shelfmark.llm.queries import notices
 from shelfmark.llm.substring_dedup import substring_dedup
 from shelfmark.llm.warc import read_archives, resolve_revisits, write_archives
@@ -288,6 +288,25 @@ def test_pii_surrogates_stay_distinct(spark):
     assert len({r.text for r in got}) == 2000 and not {r.text for r in got} & {r.text for r in df.collect()}
 
 
+def test_pii_every_unit_gets_a_surrogate(spark):
+    odd = ["password=****", "pwd=...", "pwd=тайна", "passwd=п4роль", "pwd=$", "pwd=ключ."]
+    odd += [f"pwd={i}" for i in range(10)] + [f"{c}@{d}.com" for c in "abcdef-" for d in "abcdef"]
+    got = replace_pii(spark.createDataFrame([(i, f"so {t} here") for i, t in enumerate(odd)], "doc_id long, text string"), "k").collect()
+    made = {r.doc_id: r.text.split(" ")[1] for r in got}
+    assert all(r.n_entities == 1 for r in got) and len(set(made.values())) == len(odd) and not set(made.values()) & set(odd)
+    assert not any(w in t for w in ("тайна", "роль", "ключ") for t in made.values())
+    assert all(re.match(r"(password|pwd|passwd)=\S", made[i]) for i in range(16)) and made[5].endswith(".")
+
+
+def test_pii_more_names_than_short_surrogates(spark):
+    names = spark.range(70_000).select(F.lit("family").alias("unit"), F.concat(F.lit("Name"), F.col("id").cast("string")).alias("canon"))
+    got = surrogate_table(names, "k")
+    assert got.count() == 70_000 == got.select("surrogate").distinct().count()
+    phones = spark.range(100_000).select(F.lit("phone").alias("unit"), F.lpad(F.col("id").cast("string"), 5, "0").alias("canon"))
+    got = surrogate_table(phones, "k")
+    assert got.count() == 100_000 == got.select("surrogate").distinct().count() and got.join(phones, got.surrogate == phones.canon).isEmpty()
+
+
 def test_embeddings_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(vectors, "CELL", 40)
     monkeypatch.setattr(vectors, "BLOCK", 50)
