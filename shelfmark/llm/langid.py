@@ -139,7 +139,7 @@ def _counter(model: bytes):
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 words = Counter(letter_words(text))
-                for (w, n), ids in zip(words.items(), sp.encode([w[:LONGEST] for w in words])):
+                for (w, n), ids in zip(words.items(), sp.encode(list(words))):
                     for i in ids:
                         total[lang, i] += n
         keys = list(total)

@@ -385,3 +385,9 @@ def test_language_id_held_out(spark, empty):
     assert {r.lang_pred for r in got if r.doc_id in (5000, 5001, 5002)} == {"und"}
     assert langid.identify(empty, MODEL).count() == 0
     assert {r.lang_pred for r in langid.identify(rows.withColumn("lang", F.lit(None).cast("string")), MODEL).collect()} == {"und"}
+
+
+def test_language_fit_learns_all_of_long_words(spark):
+    rows = spark.createDataFrame([("the" * 40, "en"), ("short words", "en")], "text string, lang string")
+    _, pieces, counts = langid.fit(rows, MODEL)
+    assert sum(len(p.strip(langid.MARK)) * n for p, n in zip(pieces, counts[:, 0])) == 120 + len("shortwords")
