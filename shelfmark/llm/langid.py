@@ -6,7 +6,7 @@ A word's probability under a language is the sum over all its segmentations into
 product of their probabilities, by the forward algorithm.  A text's score is the sum over its
 words, whole text, all words.
 
-The fit reads a sample of at most ``FIT_DOCS`` labelled documents a language, taken by a
+The fit reads a sample of at most about ``FIT_DOCS`` distinct labelled texts a language, taken by a
 hash of the text, and its counts (vocabulary x languages) are the only data sent around.
 """
 
@@ -152,18 +152,18 @@ def _counter(model: bytes):
 def fit(labelled: DataFrame, model_path: str) -> tuple[list[str], list[str], np.ndarray]:
     """(languages, pieces, counts) from rows (text, lang) with neither null.
 
-    At most about ``FIT_DOCS`` rows a language, those with the smallest hash of their text.
+    At most about ``FIT_DOCS`` distinct texts a language, those with the smallest hash; copies count once.
     """
     prepare(labelled.sparkSession)
     with open(model_path, "rb") as f:
         model = f.read()
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.select("lang", F.xxhash64("text")).distinct().groupBy("lang").count().collect()}
     langs = sorted(sizes)
     if not langs:
         return [], [], np.zeros((0, 0))
     share = F.create_map(*[x for g in langs for x in (F.lit(g), F.lit(min(1.0, FIT_DOCS / sizes[g])))])
-    sample = rows.where((F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000.0) < share[F.col("lang")])
+    sample = rows.where((F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000.0) < share[F.col("lang")]).distinct()
     found = (sample.mapInArrow(_counter(model), "lang string, piece int, n long")
              .groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect())  # at most vocabulary x languages
     sp = sentencepiece.SentencePieceProcessor(model_proto=model)

@@ -391,3 +391,11 @@ def test_language_fit_learns_all_of_long_words(spark):
     rows = spark.createDataFrame([("the" * 40, "en"), ("short words", "en")], "text string, lang string")
     _, pieces, counts = langid.fit(rows, MODEL)
     assert sum(len(p.strip(langid.MARK)) * n for p, n in zip(pieces, counts[:, 0])) == 120 + len("shortwords")
+
+
+def test_language_fit_counts_copies_once(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FIT_DOCS", 40)
+    texts = [" ".join(["the"] * (i + 1)) for i in range(40)] + ["and " * 50] * 1000
+    _, pieces, counts = langid.fit(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"), MODEL)
+    found = dict(zip(pieces, counts[:, 0]))
+    assert found["▁the"] >= 0.7 * 820 and found["▁and"] in (0, 50)
