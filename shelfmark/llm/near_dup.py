@@ -171,11 +171,13 @@ def _class_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> D
 
     # A shingle that only one candidate has is in no intersection; m = |set| - such shingles.
     # |intersection| <= m and |union| >= |set|, so a document with too small an m has no link.
-    alone = (sets.select("id", F.explode("grams").alias("g")).groupBy("g")
-             .agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1").groupBy("id").agg(F.count("*").alias("alone")))
-    able = (sets.select("id", F.size("grams").cast("long").alias("n")).distinct().join(alone, "id", "left")
+    # An id may have several texts, so the set counts for itself (``t``): the id stays if one of them may link.
+    keyed = sets.withColumn("t", F.xxhash64("id", "grams"))
+    alone = (keyed.select("t", F.explode("grams").alias("g")).groupBy("g")
+             .agg(F.count("*").alias("c"), F.min("t").alias("t")).where("c = 1").groupBy("t").agg(F.count("*").alias("alone")))
+    able = (keyed.select("id", "t", F.size("grams").cast("long").alias("n")).distinct().join(alone, "t", "left")
             .select(F.col("id").alias("v"), F.col("n").alias("n_v"), (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
-            .where(f"100 * m >= {percent} * n_v"))
+            .where(f"100 * m >= {percent} * n_v").select("v", "n_v").distinct())
     diffs = (stars.join(able, ["v", "n_v"])
              .join(sets.select(F.col("id").alias("u"), F.col("grams").alias("grams_u")), "u")
              .join(sets.select(F.col("id").alias("v"), F.col("grams").alias("grams_v")), "v")

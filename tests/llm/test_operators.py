@@ -399,3 +399,16 @@ def test_language_fit_counts_copies_once(spark, monkeypatch):
     _, pieces, counts = langid.fit(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"), MODEL)
     found = dict(zip(pieces, counts[:, 0]))
     assert found["▁the"] >= 0.7 * 820 and found["▁and"] in (0, 50)
+
+
+def test_near_dup_of_an_id_with_another_text(spark):
+    own = random.Random(9)
+    base = [f"b{own.randrange(10 ** 6)}" for _ in range(80)]
+    near = base[:40] + ["other"] + base[41:]
+    far = [f"f{own.randrange(10 ** 6)}" for _ in range(300)]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (2, " ".join(far)), (3, " ".join(far[:-1] + ["end"])), (4, " ".join(prose(50)))]
+    got = minhash_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 1, 4: 4}
+    rows = [r for r in rows if r[0] != 3]
+    got = minhash_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 4: 4}
