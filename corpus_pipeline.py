@@ -38,10 +38,14 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of every near-duplicate group, one row of it."""
+    """Keeps the document of smallest id of every near-duplicate group, with all its texts.
+
+    Of rows equal in id and text, the one whose other columns sort first stays.
+    """
     groups = minhash_near_duplicates(docs, k=5, percent=80)
     kept = groups.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rest = F.min(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")])).alias("rest")
+    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id", "text").agg(rest).select("doc_id", "text", "rest.*")
     return one.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 

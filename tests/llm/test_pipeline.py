@@ -55,3 +55,11 @@ def test_stage_names_and_run(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     for i in want:
         assert got[i]["text"] == cut[i] and list(got[i]["piece_ids"]) == sp.encode(cut[i]) and got[i]["round_trip"]
+
+
+def test_near_dedup_keeps_every_text_of_an_id(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a, "y"), (1, b, "x"), (1, a, "x"), (2, a, "x"), (None, a, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.near_dedup(spark, docs, DIR).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, a, "x"), (1, b, "x"), (None, a, "x")], key=str)
