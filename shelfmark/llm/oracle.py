@@ -19,6 +19,15 @@ def _grams(name: str, source: str, key: str, words: str, k: int) -> str:
       FROM (SELECT {key}, {words} AS ws FROM {source}), unnest(range(1, len(ws) - {k - 2})) AS t(s))"""
 
 
+def _round(n: int) -> str:
+    """CTEs of one round of op11: each vector's nearest centroid of c<n> as a<n>, and the moved centroids c<n + 1>."""
+    return f"""a{n} AS (SELECT vec_id, v, arg_min(i, (d, i)) AS i, min(d) AS d FROM (SELECT q.vec_id, q.v, c.i,
+        list_sum(list_transform(list_zip(q.v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM q, c{n} c) GROUP BY vec_id, v),
+m{n} AS (SELECT i, list(m ORDER BY j) AS c FROM (SELECT i, j, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS m
+        FROM (SELECT i, unnest(v) AS x, unnest(range(1, 65)) AS j FROM a{n}) GROUP BY i, j) GROUP BY i),
+c{n + 1} AS (SELECT c{n}.i, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (i))"""
+
+
 ORACLE = {
     "op2_line_dedup": """
 WITH l AS (SELECT doc_id, i, ls[i] AS line, i = len(ls) AS last, ('0x' || substr(md5(ls[i]), 1, 8))::BIGINT AS h
@@ -84,4 +93,37 @@ WITH {_grams('d', 'documents', 'doc_id', _words(_LOWER), 5)},
 n AS (SELECT item_id, count(*) AS n FROM t GROUP BY 1)
 SELECT doc_id, item_id, n.n::INT AS n_shingles, count(*)::INT AS n_found
 FROM d JOIN t USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n.n HAVING 100 * count(*) >= 80 * n.n""",
+    "op11_centroid_clustering": f"""
+WITH q AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE len(embedding) = 64 AND list_aggregate(list_transform(embedding, lambda x: (x IS NOT NULL AND isfinite(x))::INT), 'min') = 1),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS i, v AS c FROM q QUALIFY i < 16),
+{_round(0)},
+{_round(1)},
+{_round(2)},
+{_round(3)}
+SELECT vec_id, a3.i::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a3.i))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c3.c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (i)""",
+    "op12_hard_negatives": """
+WITH q AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE label IS NOT NULL AND list_aggregate(list_transform(embedding, lambda x: (x IS NOT NULL AND isfinite(x))::INT), 'min') = 1),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+             list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other))::INT AS rank,
+       s.other AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10""",
+    "op13_url_filter": """
+WITH r(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                                       ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+u AS (SELECT page_id, row_number() OVER () AS n, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, n, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+SELECT h.page_id, h.host, h.path, r.host || r.path AS rule, coalesce(r.verdict, 'allow') AS verdict
+FROM h LEFT JOIN r ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path)
+QUALIFY row_number() OVER (PARTITION BY h.n ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) = 1""",
 }

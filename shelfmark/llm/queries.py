@@ -11,15 +11,21 @@ from .langid import identify
 from .license_scan import NOTICES, license_scan
 from .line_dedup import line_dedup
 from .near_dup import minhash_near_duplicates
+from .negatives import hard_negatives
 from .oracle import ORACLE  # noqa: F401
 from .pieces import encode_decode
 from .pii import replace_pii
 from .substring_dedup import substring_dedup
+from .url_filter import url_filter
 from .vectors import embedding_near_duplicates
 from .warc import read_archives, resolve_revisits, write_archives
+from .zone_clusters import zone_clusters
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 PII_KEY = "registered query"  # a production run passes its own secret
+# The rules of op13 (host, path, verdict).
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +83,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=5, percent=80)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_clusters(_table(spark, sf_dir, "embeddings"), k=16, dims=64, scale=64, rounds=3)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label")))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in URL_RULES])
+    return url_filter(_table(spark, sf_dir, "pages"), spark.range(1).select(F.inline(rules)), default="allow")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_line_dedup, op3_warc, op4_pii_surrogates, op5_minhash_near_dedup, op6_embedding_near_dedup,
-    op7_license_scan, op8_language_id, op9_substring_dedup, op10_decontamination)}
+    op7_license_scan, op8_language_id, op9_substring_dedup, op10_decontamination,
+    op11_centroid_clustering, op12_hard_negatives, op13_url_filter)}
