@@ -394,3 +394,11 @@ SELECT doc_id, lang, source, n_chars FROM (
   SELECT doc_id, lang, source, n_chars, {_DOC_TOKENS} AS t FROM documents)
 WHERE (' ' || array_to_string(t, ' ') || ' ') LIKE '% of the %'
    OR (list_contains(t, 'tion') AND NOT list_contains(t, 'ing'))"""
+# '"of the" tion or ing or "the ing" -tion': each alternative is a conjunction.
+ORACLE["text_index_documents"] = f"""
+SELECT doc_id, lang, source, n_chars FROM (
+  SELECT doc_id, lang, source, n_chars, t, ' ' || array_to_string(t, ' ') || ' ' AS s FROM (
+    SELECT doc_id, lang, source, n_chars, {_DOC_TOKENS} AS t FROM documents))
+WHERE (s LIKE '% of the %' AND list_contains(t, 'tion'))
+   OR list_contains(t, 'ing')
+   OR (s LIKE '% the ing %' AND NOT list_contains(t, 'tion'))"""

@@ -9,8 +9,11 @@ Design (one row in, one boolean out -- no shuffle):
 * The query string is compiled on the driver into a Column over that array:
   term -> ``array_contains``; phrase -> a start position whose followers match;
   AND / OR / NOT -> ``&`` ``|`` ``~``.  A query with no lexeme matches nothing.
-* Tokenising and matching are JVM expressions.  Stemming is the only Python step: an
-  Arrow-batched pandas UDF over the token arrays, memoised per word.
+* Tokenising and matching are JVM expressions.  Stemming is the only Python step.
+
+This is the scan: it suits one query over a table that is read anyway.  Under 'english' it
+stems every token array; :mod:`shelfmark.plans.text_index` stems each distinct token
+once and answers selective queries by lookup, which is what the reports use.
 
 Query language (web-search style): words are ANDed; ``"a b"`` is a phrase; ``or``
 between operands is OR (binds weaker than AND); ``-`` before a word or phrase negates
@@ -57,7 +60,12 @@ CONFIGS = ("english", "simple")
 # ---------------------------------------------------------------------------- documents
 def tokens(text: Column) -> Column:
     """Lower-cased alphanumeric runs of ``text`` in order (no empty strings)."""
-    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != F.lit(""))
+    return words_of(F.lower(text))
+
+
+def words_of(lowered: Column) -> Column:
+    """Alphanumeric runs of a text that is in lower case already."""
+    return F.filter(F.split(lowered, TOKEN_SPLIT), lambda t: t != F.lit(""))
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -70,6 +78,12 @@ def _stem_arrays(arrays: pd.Series) -> pd.Series:
     return arrays.map(one)
 
 
+@F.pandas_udf(T.StringType())
+def stem_words(words: pd.Series) -> pd.Series:
+    """Stem of every word; for a vocabulary, where each word stands once."""
+    return words.map(stem, na_action="ignore")
+
+
 def lexemes(text: Column, config: str = "english") -> Column:
     """Lexeme array of a document; index = position, ``''`` marks a dropped stop word."""
     if config == "simple":
@@ -204,10 +218,35 @@ def matches(lexeme_array: Column, query: str, config: str = "english") -> Column
     return F.exists(F.array(lexeme_array), lambda lx: _compile(tree, lx))
 
 
+def _required(node, lowered: Column) -> Column | None:
+    """A condition on the lower-cased text that every matching 'simple' document meets, without tokenising; None: any may match."""
+    if isinstance(node, Term):
+        return F.contains(lowered, F.lit(node.lexeme))
+    if isinstance(node, Phrase):
+        return reduce(lambda a, b: a & b, [F.contains(lowered, F.lit(w)) for w, _ in node.parts])
+    if isinstance(node, And):
+        known = [c for c in (_required(a, lowered) for a in node.args) if c is not None]
+        return reduce(lambda a, b: a & b, known) if known else None
+    if isinstance(node, Or):
+        known = [_required(a, lowered) for a in node.args]
+        return reduce(lambda a, b: a | b, known) if all(c is not None for c in known) else None
+    return None
+
+
 def filter_matching(df, text: Column, query: str, config: str = "english"):
     """Rows of ``df`` where ``to_tsvector(config, text) @@ websearch_to_tsquery(config, query)``.
 
     The lexeme array is computed once per row (see :func:`matches`); under 'english'
-    the stemmer UDF stays outside the query's lambdas.
+    the stemmer UDF stays outside the query's lambdas.  Under 'simple' a text that lacks a
+    required word as a substring is rejected before it is tokenised.
     """
-    return df.filter(matches(lexemes(text, config), query, config))
+    tree = parse_websearch(query, config)
+    if config != "simple" or tree is None:
+        return df.filter(matches(lexemes(text, config), query, config))
+
+    def test(lowered: Column) -> Column:
+        whole = F.exists(F.array(words_of(lowered)), lambda lx: _compile(tree, lx))
+        required = _required(tree, lowered)
+        return whole if required is None else required & whole
+
+    return df.filter(F.exists(F.array(F.lower(text)), test))

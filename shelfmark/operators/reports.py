@@ -227,10 +227,9 @@ def _catalogue_frame(cat: Catalogue, subject: str | None, config: str, instances
     """
     ins = instances if instances is not None else _instances(cat)
     ins = ins.withColumn("subjects_text", jt.array_member_text(F.col("ins.subjects"), "value"))
-    if subject is not None and config == "english" and "derived" in cat.levels:
-        # Stored lexemes: the match is a JVM filter on the lexeme table, then a semi join.
-        hits = cat.derived("instance_subject_lexemes").filter(matches(F.col("lexemes"), subject, config))
-        ins = ins.join(hits.select("instance_id"), "instance_id", "left_semi")
+    if subject is not None and config == "english":
+        # Term lookups in the subject index, then a semi join: no instance's text is read to decide it.
+        ins = ins.join(cat.subject_index().search(subject), "instance_id", "left_semi")
     elif subject is not None:
         ins = ins.filter(matches(lexemes(F.col("subjects_text"), config), subject, config))
     # home location with its campus (and an existing service point), current location

@@ -165,21 +165,6 @@ def item_loan_stats(cat: Catalogue) -> DataFrame:
         F.count("id").alias("checkouts"), F.sum("renewal_count").alias("renewals"))
 
 
-def instance_subject_lexemes(cat: Catalogue) -> DataFrame:
-    """Subject text of every instance as 'english' lexemes (FT1 index, SURVEY 2.8 step 3).
-
-    The text is the one the reports search (subject values, brackets and quotes
-    removed); stop words keep their position as ''.  Stemming -- the only Python in the
-    full-text path -- runs here once per load instead of once per query.
-    """
-    from shelfmark.functions.json_text import array_member_text
-    from shelfmark.functions.text_search import lexemes
-
-    return cat.doc("instance").select(
-        F.col("id").alias("instance_id"),
-        lexemes(array_member_text(F.col("j.subjects"), "value"), "english").alias("lexemes"))
-
-
 DERIVED = {
     "loans_items": loans_items,
     "items_holdings_instances": items_holdings_instances,
@@ -192,6 +177,5 @@ DERIVED = {
     "item_notes": item_notes,
     "loans_renewal_count": loans_renewal_count,
     "locations_libraries": locations_libraries,
-    "instance_subject_lexemes": instance_subject_lexemes,
     "item_loan_stats": item_loan_stats,
 }

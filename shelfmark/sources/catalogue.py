@@ -43,7 +43,7 @@ _TIMESTAMP_MEMBERS = {"loan": ("loanDate", "dueDate", "returnDate")}
 FLAT_TABLES = ("holdings_record", "item", "location", "loccampus", "loclibrary", "service_point",
                "material_type", "loan_type", "statistical_code", "item_note_type", "loan")
 
-LEVELS = ("doc", "flat", "derived")
+LEVELS = ("doc", "flat", "derived", "index")
 
 # Stored layout: tables the reports filter by a range are range-partitioned and sorted
 # on that column, so Parquet file and row-group statistics skip what is out of range
@@ -219,6 +219,13 @@ class Catalogue:
         write_all({f"flat/{name}": (lambda n=name: docs.flat(n)) for name in FLAT_TABLES})
         flats = Catalogue.from_stored(self.spark, path, levels=("doc", "flat"))
         write_all({f"derived/{name}": (lambda j=job: j(flats)) for name, job in DERIVED.items()})
+
+        def write_index(df: DataFrame, name: str, order: list[str] | None) -> DataFrame:
+            df = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order) if order else df
+            write(df, f"index/subject_{name}")
+            return self.spark.read.parquet(f"{path}/index/subject_{name}")
+
+        flats.subject_index(write_index)
         return Catalogue.from_stored(self.spark, path)
 
     def computed(self) -> "Catalogue":
@@ -270,3 +277,18 @@ class Catalogue:
         from shelfmark.plans.derived import DERIVED
 
         return DERIVED[name](self)
+
+    def subject_index(self, write=None):
+        """FT1's index over the subject text of every instance, 'english' (read when stored, else computed).
+
+        The text is the one the reports search: subject values, brackets and quotes removed; '' without subjects.
+        An instance whose whole document is NULL is no document of the index.
+        """
+        from shelfmark.functions.json_text import array_member_text
+        from shelfmark.plans.text_index import TextIndex
+
+        if "index" in self.levels:
+            return TextIndex("instance_id", "english", self._read("index/subject_documents"), self._read("index/subject_postings"))
+        docs = self.doc("instance").select(F.col("id").alias("instance_id"), F.when(
+            F.col("j").isNotNull(), array_member_text(F.col("j.subjects"), "value")).alias("subjects_text"))
+        return TextIndex.build(docs, "instance_id", F.col("subjects_text"), "english", *([write] if write else []))
