@@ -43,9 +43,9 @@ def test_repeated_words_in_phrases(spark):
 
 def test_a_frequent_token_meets_the_vocabulary_in_a_split_join(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
     before = {k: spark.conf.get(k) for k in conf}
-    docs = spark.range(20000).select("id", F.concat(F.lit("hot w"), F.col("id") % 400).alias("t")).repartition(8)
+    docs = spark.range(20000).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.concat(F.lit("hot w"), F.col("id") % 400).alias("t")).repartition(8)
     index = index_documents(docs, "english", "id", "t")
     assert index.search("hot").count() == 20000
     try:
