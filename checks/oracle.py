@@ -17,6 +17,11 @@ def uid(kind: str, expr: str) -> str:
 PRICE = "1fceb11c-7a89-49d6-8ef0-2a42c58556a2"
 PO = "5ec4ca65-aacc-4f16-aa9d-395efd89f850"
 STAFF = "86e6410d-4c8b-4853-8054-bd5e563e9760"
+CIRCULATION = "5366d4d4-8775-4cf4-a00f-77c82f0ca3bf"
+PUBLIC = "b6b35579-ee2b-4973-8e0d-ebc05bab0dab"
+OWNERSHIP = "34207e4e-5cd7-4eab-801b-b0326cd5c66a"
+INVENTORY_DATE = "e1f34ba3-6d37-462e-878c-17f922b13d93"
+INVOICE = "8f99bd3a-706c-45d2-89d8-8eca7fa1c03f"
 
 # Catalogue as CTEs.  Integer keys: pk part/instance/holdings, ik item, ck patron,
 # nk location / service point, rk campus / library, code index, mt index.
@@ -30,13 +35,15 @@ ltype AS (SELECT * FROM (VALUES (0, 'Can circulate'), (1, 'Course reserves'), (2
         (3, 'Short term')) t(k, name)),
 grp AS (SELECT * FROM (VALUES (0, 'BUILDING', 'Student'), (1, 'AUTOMOBILE', 'Faculty'), (2, 'FURNITURE', 'Staff'),
         (3, 'HOUSEHOLD', 'Guest'), (4, 'MACHINERY', 'Alumni')) t(k, segment, name)),
-ntype AS (SELECT * FROM (VALUES ('{PRICE}', 'Price'), ('{PO}', 'PO Number'), ('{STAFF}', 'Staff Note'))
+ntype AS (SELECT * FROM (VALUES ('{PRICE}', 'Price'), ('{PO}', 'PO Number'), ('{STAFF}', 'Staff Note'),
+        ('{CIRCULATION}', 'Circulation Note'), ('{PUBLIC}', 'Public Note'), ('{OWNERSHIP}', 'Ownership'),
+        ('{INVENTORY_DATE}', 'Inventory Date'), ('{INVOICE}', 'Invoice'))
         t(id, name)),
 loc AS (SELECT n_nationkey AS nk, {uid('a4000000', 'n_nationkey')} AS location_id,
-        CASE WHEN n_nationkey = 24 THEN 'Storage'
+        CASE WHEN n_nationkey = 24 THEN 'Storage' WHEN n_nationkey IN (6, 9) THEN 'Annex General'
              ELSE n_name || CASE n_nationkey % 3 WHEN 0 THEN ' General' WHEN 1 THEN ' CLE' ELSE ' Open Lab' END
         END AS name,
-        n_regionkey AS rk, n_name AS sp_name FROM nation),
+        n_regionkey AS rk, CASE WHEN n_nationkey <> 13 THEN n_name END AS sp_name FROM nation),
 campus AS (SELECT r_regionkey AS rk, r_name AS name FROM region),
 oi AS (SELECT p_partkey AS pk, {uid('b1000000', 'p_partkey')} AS instance_id, p_name AS title,
         '2019-' || lpad(CAST(p_partkey % 12 + 1 AS VARCHAR), 2, '0') || '-'
@@ -49,6 +56,8 @@ oi AS (SELECT p_partkey AS pk, {uid('b1000000', 'p_partkey')} AS instance_id, p_
         CASE WHEN p_partkey % 4 <> 0 THEN [p_brand] END AS publishers,
         CAST(1950 + p_size AS VARCHAR) AS pub_year,
         CASE WHEN p_partkey % 2 = 0 THEN CAST(1951 + p_size + p_partkey % 5 AS VARCHAR) END AS pub_later,
+        CAST(1900 + p_size AS VARCHAR) AS period_start,
+        CASE WHEN p_partkey % 3 = 0 THEN CAST(1902 + p_size AS VARCHAR) END AS period_end,
         CASE WHEN p_partkey % 7 = 0 THEN NULL
              WHEN p_partkey % 2 = 0 THEN [p_partkey % 6, (p_partkey + 3) % 6]
              ELSE [p_partkey % 6] END AS codes,
@@ -73,6 +82,11 @@ ot AS (SELECT pk, ik, {uid('b3000000', 'ik')} AS item_id, {uid('b2000000', 'pk')
              ELSE list_concat(CASE WHEN ik % 3 = 0 THEN ['checked ' || CAST(ik % 4 AS VARCHAR)] ELSE []::VARCHAR[] END,
                               CASE WHEN ik % 6 = 0 THEN ['damaged'] ELSE []::VARCHAR[] END) END AS staff_notes,
         CASE WHEN ik % 7 <> 0 AND ik % 5 = 1 THEN ['PO-' || CAST(ik AS VARCHAR)] ELSE []::VARCHAR[] END AS po_notes,
+        CASE WHEN ik % 7 <> 0 AND ik % 8 = 3 THEN ['two hours, ' || CAST(ik % 3 AS VARCHAR)] ELSE []::VARCHAR[] END AS circulation_notes,
+        CASE WHEN ik % 7 <> 0 AND ik % 8 = 5 THEN ['ask at the desk'] ELSE []::VARCHAR[] END AS public_notes,
+        CASE WHEN ik % 7 <> 0 AND ik % 16 = 9 THEN ['gift'] ELSE []::VARCHAR[] END AS ownership_notes,
+        CASE WHEN ik % 7 <> 0 AND ik % 10 = 3 THEN ['2021-0' || CAST(ik % 9 + 1 AS VARCHAR)] ELSE []::VARCHAR[] END AS inventory_notes,
+        CASE WHEN ik % 7 <> 0 AND ik % 10 = 7 THEN ['INV ' || CAST(ik AS VARCHAR)] ELSE []::VARCHAR[] END AS invoice_notes,
         CASE WHEN ik % 9 <> 0 THEN ik % 6 END AS code,
         ik % 3 AS plt, CASE WHEN ik % 5 = 0 THEN 3 END AS tlt,
         CAST(DATE '2015-01-01' + CAST(ik % 1000 AS INTEGER) AS TIMESTAMP) + INTERVAL 10 HOUR AS created_date
@@ -89,14 +103,15 @@ ou AS (SELECT c_custkey AS ck, {uid('c1000000', 'c_custkey')} AS user_id,
 ol AS (SELECT {uid('d1000000', 'l_orderkey * 8 + l_linenumber')} AS loan_id,
         l_partkey * 2 + l_linenumber % 2 AS ik, {uid('b3000000', 'l_partkey * 2 + l_linenumber % 2')} AS item_id,
         o_custkey AS ck, {uid('c1000000', 'o_custkey')} AS user_id,
-        l_shipdate + to_hours(l_linenumber) AS loan_date,
+        CASE WHEN l_orderkey % 97 <> 0 THEN l_shipdate + to_hours(l_linenumber) END AS loan_date,
         l_shipdate + to_hours(l_linenumber) + INTERVAL 14 DAY AS due_date,
         CASE WHEN l_linestatus <> 'O' THEN l_shipdate + to_hours(l_linenumber) + INTERVAL 7 DAY END AS return_date,
         CASE WHEN l_linestatus = 'O' THEN 'Open' ELSE 'Closed' END AS status,
         CASE WHEN l_linestatus = 'O' THEN 'Checked out' ELSE 'Available' END AS item_status,
         CAST(trunc(l_quantity) AS INTEGER) % 4 AS renewal_count,
         CASE WHEN l_suppkey % 13 <> 0 THEN l_suppkey % 25 END AS checkout_nk
-    FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    WHERE (l_partkey * 2 + l_linenumber % 2) % 50 <> 47),
 li AS (SELECT ol.loan_id, ol.item_id, ol.user_id, ot.barcode, ol.item_status, ol.loan_date,
         ol.due_date AS loan_due_date, ol.return_date AS loan_return_date, ol.renewal_count,
         ot.mt_name AS material_type_name, ou.group_name AS patron_group_name,
@@ -109,6 +124,11 @@ ihi AS (SELECT ot.item_id, ot.ik, oi.instance_id, oi.pk, oh.holdings_id, oh.call
 """
 
 
+# All notes of an item, in document order.
+NOTES = ("list_concat(price_notes, list_concat(staff_notes, list_concat(po_notes, list_concat(circulation_notes, "
+         "list_concat(public_notes, list_concat(ownership_notes, list_concat(inventory_notes, invoice_notes)))))))")
+
+
 def q(body: str) -> str:
     return f"WITH {CATALOGUE.strip()}\n{body}"
 
@@ -133,9 +153,8 @@ ORACLE["item_stat_codes"] = q(
 ORACLE["item_checkouts"] = q(
     "SELECT item_id, count(*) AS checkouts FROM ol WHERE ik IN (SELECT ik FROM ot) GROUP BY item_id")
 ORACLE["item_notes"] = q(
-    "SELECT item_id, array_to_string(list_concat(price_notes, staff_notes, po_notes), ', ') AS notes, "
-    f"{_csv('staff_notes')} AS staff_notes FROM ot "
-    "WHERE len(price_notes) + len(staff_notes) + len(po_notes) > 0")
+    f"SELECT item_id, array_to_string({NOTES}, ', ') AS notes, {_csv('staff_notes')} AS staff_notes FROM ot "
+    f"WHERE len({NOTES}) > 0")
 ORACLE["primary_publisher"] = q("SELECT instance_id, publishers[1] AS publisher FROM oi WHERE publishers IS NOT NULL")
 ORACLE["publishers"] = q("SELECT instance_id, array_to_string(publishers, ', ') AS publishers FROM oi "
                          "WHERE publishers IS NOT NULL")
@@ -180,12 +199,11 @@ FROM oi WHERE publishers IS NOT NULL""")
 ORACLE["derived_instance_identifiers"] = q("""
 SELECT instance_id, unnest(range(len(identifiers))) AS identifier_ordinality, unnest(identifiers) AS identifier
 FROM oi""")
+_KINDS = [("price_notes", PRICE), ("staff_notes", STAFF), ("po_notes", PO), ("circulation_notes", CIRCULATION), ("public_notes", PUBLIC),
+          ("ownership_notes", OWNERSHIP), ("inventory_notes", INVENTORY_DATE), ("invoice_notes", INVOICE)]
+_TAGGED = [f"list_transform({column}, lambda x: {{'t': '{kind}', 'note': x}})" for column, kind in _KINDS]
 ORACLE["derived_item_notes"] = q(f"""
-, n AS (
-  SELECT item_id, list_concat(list_transform(price_notes, lambda x: {{'t': '{PRICE}', 'note': x}}),
-                              list_transform(staff_notes, lambda x: {{'t': '{STAFF}', 'note': x}}),
-                              list_transform(po_notes, lambda x: {{'t': '{PO}', 'note': x}})) AS notes
-  FROM ot)
+, n AS (SELECT item_id, flatten([{', '.join(_TAGGED)}]) AS notes FROM ot)
 SELECT u.item_id, u.pos AS note_ordinality, u.e.t AS note_type_id, ntype.name AS note_type_name, u.e.note AS note
 FROM (SELECT item_id, unnest(range(len(notes))) AS pos, unnest(notes) AS e FROM n) u
 LEFT JOIN ntype ON ntype.id = u.e.t""")
@@ -193,8 +211,8 @@ ORACLE["derived_loans_renewal_count"] = q("SELECT loan_id, item_id, renewal_coun
 ORACLE["derived_locations_libraries"] = q(f"""
 SELECT loc.location_id, loc.name AS location_name, {uid('a2000000', 'loc.rk')} AS library_id,
        campus.name AS library_name, {uid('a1000000', 'loc.rk')} AS campus_id, campus.name AS campus_name,
-       {uid('a3000000', 'loc.nk')} AS service_point_id, loc.sp_name AS service_point_name,
-       campus.rk IS NOT NULL AS library_found, campus.rk IS NOT NULL AS campus_found, true AS service_point_found
+       CASE WHEN loc.nk <> 13 THEN {uid('a3000000', 'loc.nk')} END AS service_point_id, loc.sp_name AS service_point_name,
+       campus.rk IS NOT NULL AS library_found, campus.rk IS NOT NULL AS campus_found, loc.nk <> 13 AS service_point_found
 FROM loc LEFT JOIN campus ON campus.rk = loc.rk""")
 
 # ---------------------------------------------------------------- reports
@@ -224,7 +242,7 @@ LEFT JOIN (SELECT l_orderkey, s.ln AS ln, s.pk AS pk FROM (SELECT l_orderkey,
        ON f.l_orderkey = o_orderkey
 LEFT JOIN ot ON ot.ik = f.pk * 2 + f.ln % 2
 LEFT JOIN part p ON p.p_partkey = f.pk
-WHERE CAST(o_totalprice AS DECIMAL(12, 2)) BETWEEN 400.00 AND 1000000.00""")
+WHERE CAST(o_totalprice AS DECIMAL(12, 2)) BETWEEN 400.00 AND 1000000.00 AND o_orderkey % 100 <> 89""")
 
 ORACLE["fee_balances_high"] = ORACLE["fee_balances"].replace("BETWEEN 400.00 AND 1000000.00", "BETWEEN 400000.00 AND 450000.00")
 
@@ -247,7 +265,7 @@ FROM oi JOIN oh ON oh.pk = oi.pk JOIN ot ON ot.pk = oi.pk
      JOIN loc hl ON hl.nk = oh.home_nk
      JOIN loc il ON il.nk = ot.eff_nk
      JOIN campus ON campus.rk = il.rk
-WHERE oi.codes[1] = 1
+WHERE oi.codes[1] = 1 AND hl.sp_name IS NOT NULL
   AND ol.loan_date BETWEEN TIMESTAMP '2000-01-01 00:00:00' AND TIMESTAMP '2050-01-01 00:00:00'"""
 ORACLE["equipment_checkouts"] = q(_EQUIP)
 
@@ -255,14 +273,14 @@ _ITEM_DETAILS = f"""
 SELECT oi.title, oh.call_number,
        array_to_string(list_transform(oi.identifiers, lambda x: regexp_replace(x, ' :.*\\$[0-9]+\\.[0-9][0-9]$', '')), ', ')
            AS identifiers,
-       greatest(oi.pub_year, oi.pub_later) AS publication_date,
+       greatest(oi.period_start, oi.period_end) AS publication_date,
        ot.barcode AS item_barcode, hl.name AS holdings_location, il.name AS item_location,
        ot.mt_name AS material_type, hl.sp_name AS service_point, ot.status AS item_status,
        plt.name AS permanent_loan_type, tlt.name AS temporary_loan_type,
-       NULL::VARCHAR AS circulation_note, NULL::VARCHAR AS public_note,
-       {_csv('ot.staff_notes')} AS staff_notes, NULL::VARCHAR AS ownership,
-       {_csv('ot.price_notes')} AS price, NULL::VARCHAR AS inventory_date,
-       {_csv('ot.po_notes')} AS po_number, NULL::VARCHAR AS invoice,
+       {_csv('ot.circulation_notes')} AS circulation_note, {_csv('ot.public_notes')} AS public_note,
+       {_csv('ot.staff_notes')} AS staff_notes, {_csv('ot.ownership_notes')} AS ownership,
+       {_csv('ot.price_notes')} AS price, {_csv('ot.inventory_notes')} AS inventory_date,
+       {_csv('ot.po_notes')} AS po_number, {_csv('ot.invoice_notes')} AS invoice,
        insc.name AS instance_stat_code, itsc.name AS item_stat_code
 FROM oi JOIN oh ON oh.pk = oi.pk JOIN ot ON ot.pk = oi.pk
      JOIN loc hl ON hl.nk = oh.home_nk
@@ -270,8 +288,13 @@ FROM oi JOIN oh ON oh.pk = oi.pk JOIN ot ON ot.pk = oi.pk
      LEFT JOIN ltype tlt ON tlt.k = ot.tlt
      JOIN loc il ON il.nk = ot.eff_nk
      LEFT JOIN code insc ON insc.k = oi.codes[1]
-     LEFT JOIN code itsc ON itsc.k = ot.code"""
+     LEFT JOIN code itsc ON itsc.k = ot.code
+WHERE hl.sp_name IS NOT NULL"""
 ORACLE["item_details"] = q(_ITEM_DETAILS)
+ORACLE["item_details_filtered"] = q(_ITEM_DETAILS + """
+  AND ot.mt_name = 'SEMEXTEND-ITEM' AND ot.status = 'In transit' AND plt.name = 'Reading room' AND insc.name = 'Hotspot'""")
+ORACLE["item_details_places"] = q(_ITEM_DETAILS + """
+  AND hl.sp_name = 'NATION_7' AND hl.name = 'NATION_7 CLE' AND il.name = 'NATION_14 Open Lab' AND tlt.name = 'Short term'""")
 
 _SEMESTER = """
 SELECT code.name AS subtype, lib.name AS item_library, ot.barcode AS item_barcode, ot.status,
@@ -298,6 +321,8 @@ _SEM_RULES = {
 for _key, _rule in _SEM_RULES.items():
     ORACLE[_key] = q(_SEMESTER.format(rule=_rule))
 
+ORACLE["semester_loans_library"] = q(_SEMESTER.format(rule=f"({_SEM_RULES['semester_loans']}) AND lib.name = 'EUROPE'"))
+
 # Inventory / subject search: subjects text is the subject values joined by ', '; the
 # word tokens are those values split on non-alphanumerics, lower-cased; the query words
 # below are written already stemmed.
@@ -327,7 +352,7 @@ _R4_COLS = dict(item_status="ot.status AS item_status,",
                 price="'$' || ltrim(coalesce(ot.price_notes[1], '0.00'), '$')",
                 pub="oi.pub_year, oi.pub_later")
 _R10_COLS = dict(item_status="", price="CASE WHEN len(ot.price_notes) > 0 THEN array_to_string(ot.price_notes, ', ') END",
-                 pub="oi.pub_year, oi.pub_later")
+                 pub="oi.period_start, oi.period_end")
 _TOKENS = "list_transform(coalesce(oi.subjects, []::VARCHAR[]), lambda s: lower(s))"
 
 
@@ -336,7 +361,7 @@ def _has(word: str) -> str:
 
 
 _LC = "regexp_matches(coalesce(oh.call_number, ''), '^[A-Z]{1,3}\\s*[0-9]')"
-_R4_WHERE = "oh.call_number BETWEEN 'A' AND 'ZZZ 9999.999'"
+_R4_WHERE = "oh.call_number BETWEEN 'A' AND 'ZZZ 9999.999' AND hl.sp_name IS NOT NULL"
 ORACLE["inventory_search"] = q(
     _SEARCH_COLUMNS.format(**_R4_COLS)
     # widgets or "small gear" -red  ->  widget | (small <-> gear & !red)
@@ -352,9 +377,12 @@ ORACLE["inventory_search_cle"] = q(
 ORACLE["inventory_search_open_labs"] = q(
     _SEARCH_COLUMNS.format(**_R4_COLS)
     + f"WHERE {_R4_WHERE} AND NOT {_LC} AND regexp_matches(il.name, '(?i)(Open Lab)')")
+ORACLE["inventory_search_filtered"] = q(
+    _SEARCH_COLUMNS.format(**_R4_COLS)
+    + "WHERE oh.call_number BETWEEN 'HF' AND 'QA 3' AND hl.sp_name IS NOT NULL AND campus.name = 'ASIA' AND ot.mt_name = 'BOOK'")
 # economies -small  ->  economi & !small   (the part type ECONOMY stems to economi)
 ORACLE["subject_search"] = q(
-    _SEARCH_COLUMNS.format(**_R10_COLS) + f"WHERE {_has('economy')} AND NOT {_has('small')}")
+    _SEARCH_COLUMNS.format(**_R10_COLS) + f"WHERE {_has('economy')} AND NOT {_has('small')} AND hl.sp_name IS NOT NULL")
 
 # Items with a call number from 'A' on, every side joined (codes, subjects,
 # publication, identifiers, notes, loans), one row per item x code x loan state.
@@ -376,12 +404,39 @@ FROM ihi JOIN ot ON ot.ik = ihi.ik JOIN oi ON oi.pk = ihi.pk
      JOIN counts ON counts.item_id = ihi.item_id
 WHERE ihi.call_number >= 'A'
   AND len(oi.subjects) > 0 AND oi.publishers IS NOT NULL
-  AND len(ot.price_notes) + len(ot.staff_notes) + len(ot.po_notes) > 0""")
+  AND len({NOTES}) > 0""")
 
 
 ORACLE["call_number_list_range"] = ORACLE["call_number_list"].replace("call_number >= 'A'", "call_number BETWEEN 'QA' AND 'QA 3'")
 
 
+# ---------------------------------------------------------------- reports with set parameters
+ORACLE["loan_list_filtered"] = q("""
+SELECT user_id, item_id, barcode, item_status, loan_date, loan_due_date, loan_return_date, renewal_count, material_type_name
+FROM li
+WHERE patron_group_name = 'Faculty' AND item_status = 'Checked out'
+  AND loan_date BETWEEN TIMESTAMP '1998-01-01 00:00:00' AND TIMESTAMP '1999-07-02 00:00:00'""")
+ORACLE["loan_list_item"] = q("""
+SELECT user_id, item_id, barcode, item_status, loan_date, loan_due_date, loan_return_date, renewal_count, material_type_name
+FROM li
+WHERE patron_group_name = 'Student' AND barcode = '30000000000010'
+  AND loan_date BETWEEN TIMESTAMP '1990-01-01 00:00:00' AND TIMESTAMP '2050-01-01 00:00:00'""")
+_WHOLE = "BETWEEN TIMESTAMP '2000-01-01 00:00:00' AND TIMESTAMP '2050-01-01 00:00:00'"
+ORACLE["equipment_checkouts_filtered"] = q(_EQUIP.replace(
+    _WHOLE, "BETWEEN TIMESTAMP '1998-01-01 00:00:00' AND TIMESTAMP '2000-12-31 00:00:00'")
+    + " AND hl.sp_name = 'NATION_7' AND ol.status = 'Open'")
+ORACLE["location_checkout_counts_range"] = ORACLE["location_checkout_counts"].replace(
+    "BETWEEN DATE '2000-01-01' AND DATE '2050-01-01'", "BETWEEN DATE '1998-03-01' AND DATE '1999-03-31'")
+
+# ---------------------------------------------------------------- values the load rejects
+ORACLE["load_rejects"] = f"""
+SELECT 'loan' AS "table", {uid('d1000000', 'l_orderkey * 8 + l_linenumber')} AS id, 'loanDate' AS member, '00/00/0000' AS text
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE l_orderkey % 97 = 0 AND (l_partkey * 2 + l_linenumber % 2) % 50 <> 47
+UNION ALL
+SELECT 'accounts', {uid('d2000000', 'o_orderkey')}, 'remaining', 'waived' FROM orders WHERE o_orderkey % 100 = 89"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 

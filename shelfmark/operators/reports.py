@@ -10,14 +10,15 @@ Conventions shared by all reports
 * Text order is binary; NULLs sort last ascending and first descending, as in the
   source database.  ``sort=False`` skips the final global sort (a range shuffle) for
   callers that write the result somewhere unordered.
+* A date or number that does not parse is NULL (the load lists it in ``rejects``).
 * Output columns are snake_case names of the report headers.  Where the reference
   puts a value under the wrong header (renewals vs checkouts; subtype vs content),
   the column is named after the value.
 
-Scale notes: every fact-to-fact join (instance x holdings x item, item x loan,
-loan x user) is a shuffle equi-join on the id; per-item loan statistics are
-aggregated (map-side partial aggregation) *before* joining so the join input is one
-row per item; lookups (locations, campuses, types, codes) are tiny and left to the
+Scale notes: instances, holdings, items and loans are stored bucketed by instance, so the
+fact-to-fact joins among them need no shuffle; a table with one very large instance is stored
+without buckets and joined by shuffled keys that AQE splits.  Per-item loan statistics are
+aggregated *before* joining so the join input is one row per item; lookups (locations, campuses, types, codes) are tiny and left to the
 size-checked broadcast of the planner.  JSON documents are parsed once per scan with a
 pruned schema.
 """
@@ -75,14 +76,24 @@ def _holdings_t(cat: Catalogue) -> DataFrame:
 
 def _items(cat: Catalogue) -> DataFrame:
     return cat.doc("item").select(
-        F.col("id").alias("item_id"), F.col("holdingsrecordid").alias("holdings_id"),
+        F.col("id").alias("item_id"), F.col("holdingsrecordid").alias("holdings_id"), *(["instance_id"] if cat.colocated else []),
         "effectivelocationid", "materialtypeid", "permanentloantypeid", "temporaryloantypeid",
         F.col("j").alias("it"))
 
 
+# Join keys: with the tables bucketed by instance the instance's id is part of the key, which the
+# buckets satisfy, so nothing is shuffled; without, the plain key, whose exchange AQE can split.
+def _item_keys(cat: Catalogue) -> list[str]:
+    return ["instance_id", "holdings_id"] if cat.colocated else ["holdings_id"]
+
+
+def _loan_keys(cat: Catalogue) -> list[str]:
+    return ["instance_id", "item_id"] if cat.loans_colocated else ["item_id"]
+
+
 def _loan_stats(cat: Catalogue) -> DataFrame:
-    """Checkouts and renewals per item (the loans CTE of R4/R10), stored at load."""
-    return cat.derived("item_loan_stats")
+    """Checkouts and renewals per item with at least one loan (the loans CTE of R4/R10)."""
+    return cat.flat("loan").groupBy(*_loan_keys(cat)).agg(F.count("id").alias("checkouts"), F.sum("renewal_count").alias("renewals"))
 
 
 # --------------------------------------------------------------------------- R1
@@ -167,7 +178,7 @@ def equipment_checkouts(cat: Catalogue, service_point: str = ALL, status: str =
     ins = _instances(cat).withColumn("code_id", F.get(F.col("ins.statisticalCodeIds"), 0))
     ins = ins.join(codes, "code_id", "left_semi").select("instance_id", F.col("ins.title").alias("title"))
 
-    loans = cat.flat("loan").select("item_id", "user_id", "status_name", "item_status", "loan_date", "due_date")
+    loans = cat.flat("loan").select(*_loan_keys(cat), "user_id", "status_name", "item_status", "loan_date", "due_date")
     loans = loans.filter(_ts_between(F.col("loan_date"), start_date, end_date))
     if _is_set(status):
         loans = loans.filter(F.col("status_name") == status)
@@ -184,8 +195,8 @@ def equipment_checkouts(cat: Catalogue, service_point: str = ALL, status: str =
 
     rows = (
         ins.join(_holdings_t(cat), "instance_id")
-        .join(_items(cat), "holdings_id")
-        .join(loans, "item_id")
+        .join(_items(cat), _item_keys(cat))
+        .join(loans, _loan_keys(cat))
         .join(users, "user_id", "left")
         .join(hl, "permanent_location_id")
         .join(il, "effectivelocationid")
@@ -242,7 +253,8 @@ def _catalogue_frame(cat: Catalogue, subject: str | None, config: str, instances
     itsc = _doc_names(cat, "statistical_code", "it_code_id", "item_stat_code")
     return (
         ins.join(_holdings_t(cat), "instance_id")
-        .join(_items(cat), "holdings_id")
+        .join(_items(cat), _item_keys(cat))
+        .join(_loan_stats(cat), _loan_keys(cat), "left")
         .join(hl, "permanent_location_id")
         .join(il, "effectivelocationid")
         .join(mt, "materialtypeid")
@@ -250,7 +262,6 @@ def _catalogue_frame(cat: Catalogue, subject: str | None, config: str, instances
         .withColumn("it_code_id", F.get(F.col("it.statisticalCodeIds"), 0))
         .join(insc, "ins_code_id", "left")
         .join(itsc, "it_code_id", "left")
-        .join(_loan_stats(cat), "item_id", "left")
     )
 
 
@@ -342,7 +353,7 @@ def item_details(cat: Catalogue, service_point: str = ALL, holdings_location: st
     itsc = _doc_names(cat, "statistical_code", "it_code_id", "item_stat_code")
     rows = (
         _instances(cat).join(_holdings_t(cat), "instance_id")
-        .join(_items(cat), "holdings_id")
+        .join(_items(cat), _item_keys(cat))
         .join(hl, "permanent_location_id")
         .join(plt, "permanentloantypeid")
         .join(tlt, "temporaryloantypeid", "left")
@@ -416,7 +427,7 @@ def fee_balances(cat: Catalogue, min_fee: float | str = "400.00", max_fee: float
     items = cat.doc("item").select(F.col("id").alias("item_id"), F.col("j.barcode").alias("barcode"))
     rows = acc.join(users, "user_id", "left").join(groups, "group_id", "left").join(items, "item_id", "left")
     out = rows.select(
-        F.col("updated").cast("date").cast("string").alias("fee_date"),
+        F.col("updated").try_cast("date").cast("string").alias("fee_date"),
         "patron_barcode", "patron_profile", "username", "last_name", "first_name", "barcode", "item_title",
         F.col("remaining").cast("decimal(38,2)").cast("string").alias("fee_balance"),
         "remaining")
@@ -446,7 +457,7 @@ def item_link(cat: Catalogue, item_barcode: str | None, base_url: str = LINK_PRE
 def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL, sort: bool = True) -> DataFrame:
     """Semester equipment items (by subtype rule) with their open loan and borrower, if any."""
     open_loans = cat.doc("loan").filter(F.col("j.status.name") == "Open").select(
-        F.col("j.itemId").alias("item_id"), F.col("j.userId").alias("user_id"),
+        *(["instance_id"] if cat.loans_colocated else []), F.col("j.itemId").alias("item_id"), F.col("j.userId").alias("user_id"),
         F.col("j.dueDate").alias("due_date"),
         F.col("j.itemEffectiveLocationIdAtCheckOut").alias("checkout_location_id"))
     users = cat.doc("users").select(
@@ -456,7 +467,7 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
     checkout_loc = cat.doc("location").select(F.col("id").alias("checkout_location_id"),
                                               F.col("j.campusId").alias("checkout_campus_id"))
     checkout_campus = _doc_names(cat, "loccampus", "checkout_campus_id", "checkout_campus")
-    hr = cat.raw("holdings_record").select(F.col("id").alias("holdings_id"), F.col("instanceid").alias("instance_id"),
+    hr = cat.doc("holdings_record").select(F.col("id").alias("holdings_id"), F.col("instanceid").alias("instance_id"),
                                            F.col("permanentlocationid").alias("home_location_id"))
     hl = _locations(cat, "home_location_id", home_location="location_name", item_library="library_name",
                     library_found="library_found").filter(F.col("library_found"))
@@ -477,7 +488,7 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
 
     rows = (
         _instances(cat).join(hr, "instance_id")
-        .join(_items(cat), "holdings_id")
+        .join(_items(cat), _item_keys(cat))
         .join(hl, "home_location_id")
         .withColumn("ins_code_id", F.get(F.col("ins.statisticalCodeIds"), 0))
         .join(insc, "ins_code_id")
@@ -487,7 +498,7 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
     )
     # Only the open loans of the selected items meet the patrons.  The item exists in both
     # roles, so its instance and holdings are not joined again.
-    loans = (open_loans.join(rows.select("item_id"), "item_id", "left_semi")
+    loans = (open_loans.join(rows.select(*_loan_keys(cat)), _loan_keys(cat), "left_semi")
              .join(users, "user_id").join(checkout_loc, "checkout_location_id")
              .join(checkout_campus, "checkout_campus_id")
              .select("item_id", "due_date", "user_barcode", "full_name", "phone", "email", "checkout_campus"))
@@ -498,7 +509,7 @@ def semester_loans(cat: Catalogue, subtype: str = ALL, item_library: str = ALL,
         F.col("it.barcode").alias("item_barcode"),
         F.col("it.status.name").alias("status"),
         F.col("checkout_campus").alias("checkout_library"),
-        F.col("due_date").cast("date").cast("string").alias("due_date"),
+        F.col("due_date").try_cast("date").cast("string").alias("due_date"),
         "user_barcode",
         F.col("full_name").alias("name"),
         F.col("phone").alias("phone_number"),

@@ -3,7 +3,7 @@
 Most templates aggregate the elements of one document array per record.  Because a
 record's array is already in one row, they are array passes (``transform`` /
 ``array_join``) with no shuffle -- equal to the element-expansion + GROUP BY form as
-long as record ids are unique, which the catalogue guarantees.  Aggregation order is
+long as record ids are unique, which the load checks.  Aggregation order is
 array order.  Records whose array is missing or empty produce no row, as an
 element-expansion join does.
 
@@ -78,7 +78,7 @@ def item_stat_codes(cat: Catalogue) -> DataFrame:
 def item_checkouts(cat: Catalogue) -> DataFrame:
     """Number of loans of every item that has at least one."""
     per_item = (cat.flat("loan").groupBy("item_id").agg(F.count("id").alias("checkouts")))
-    items = cat.raw("item").select(F.col("id").alias("item_id"))
+    items = cat.doc("item").select(F.col("id").alias("item_id"))
     return per_item.join(items, "item_id", "left_semi").select("item_id", "checkouts")
 
 

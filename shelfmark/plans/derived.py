@@ -25,17 +25,18 @@ def _names(cat: Catalogue, table: str, id_as: str, name_as: str) -> DataFrame:
 
 def loans_items(cat: Catalogue) -> DataFrame:
     """One row per loan with its item, material type, current location and patron group."""
+    together = ["instance_id"] if cat.loans_colocated else []  # bucketed alike: no shuffle of loans or items
     loan = cat.flat("loan").select(
-        F.col("id").alias("loan_id"), "item_id", "user_id", "item_status", "loan_date",
+        F.col("id").alias("loan_id"), "item_id", *together, "user_id", "item_status", "loan_date",
         F.col("due_date").alias("loan_due_date"), F.col("return_date").alias("loan_return_date"),
         "renewal_count")
     item = cat.doc("item").select(
-        F.col("id").alias("item_id"), F.col("j.barcode").alias("barcode"), "materialtypeid",
+        F.col("id").alias("item_id"), *together, F.col("j.barcode").alias("barcode"), "materialtypeid",
         F.col("effectivelocationid").alias("current_item_effective_location_id"))
     users = cat.doc("users").select(F.col("id").alias("user_id"), F.col("j.patronGroup").alias("patron_group_id"))
     groups = cat.doc("groups").select(F.col("id").alias("patron_group_id"), F.col("j.group").alias("patron_group_name"))
     return (
-        loan.join(item, "item_id", "left")
+        loan.join(item, [*together, "item_id"], "left")
         .join(_names(cat, "material_type", "materialtypeid", "material_type_name"), "materialtypeid", "left")
         .join(_names(cat, "location", "current_item_effective_location_id", "current_item_effective_location_name"),
               "current_item_effective_location_id", "left")
@@ -49,15 +50,16 @@ def loans_items(cat: Catalogue) -> DataFrame:
 
 def items_holdings_instances(cat: Catalogue) -> DataFrame:
     """One row per item with its holdings record (call number) and instance (title)."""
+    together = ["instance_id"] if cat.colocated else []
     item = cat.doc("item").select(
-        F.col("id").alias("item_id"), F.col("holdingsrecordid").alias("holdings_id"),
+        F.col("id").alias("item_id"), F.col("holdingsrecordid").alias("holdings_id"), *together,
         F.col("j.barcode").alias("barcode"), "materialtypeid")
     holdings = cat.flat("holdings_record").select(F.col("id").alias("holdings_id"), "instance_id", "call_number")
     instance = cat.doc("instance").select(
         F.col("id").alias("instance_id"), F.col("j.title").alias("title"),
         F.col("j.catalogedDate").alias("cataloged_date"))
     return (
-        item.join(holdings, "holdings_id").join(instance, "instance_id")
+        item.join(holdings, [*together, "holdings_id"]).join(instance, "instance_id")
         .join(_names(cat, "material_type", "materialtypeid", "material_type_name"), "materialtypeid", "left")
         .select("item_id", "instance_id", "holdings_id", "call_number", "barcode", "material_type_name",
                 "title", "cataloged_date")
@@ -69,7 +71,7 @@ def item_ext(cat: Catalogue) -> DataFrame:
     item = cat.doc("item").select(
         F.col("id").alias("item_id"), F.col("j.barcode").alias("barcode"),
         F.col("j.status.name").alias("status_name"),
-        F.col("j.metadata.createdDate").cast("timestamp").alias("created_date"),
+        F.col("j.metadata.createdDate").try_cast("timestamp").alias("created_date"),
         F.col("effectivelocationid").alias("effective_location_id"))
     return item.join(_names(cat, "location", "effective_location_id", "effective_location_name"),
                      "effective_location_id", "left").select(
@@ -156,15 +158,6 @@ def locations_libraries(cat: Catalogue) -> DataFrame:
                         for p in ("library", "campus", "service_point")])
 
 
-def item_loan_stats(cat: Catalogue) -> DataFrame:
-    """Checkouts and renewals per item with at least one loan (the loans CTE of R4/R10).
-
-    Stored at load so a catalogue search does not aggregate every loan per query.
-    """
-    return cat.flat("loan").groupBy("item_id").agg(
-        F.count("id").alias("checkouts"), F.sum("renewal_count").alias("renewals"))
-
-
 DERIVED = {
     "loans_items": loans_items,
     "items_holdings_instances": items_holdings_instances,
@@ -177,5 +170,4 @@ DERIVED = {
     "item_notes": item_notes,
     "loans_renewal_count": loans_renewal_count,
     "locations_libraries": locations_libraries,
-    "item_loan_stats": item_loan_stats,
 }

@@ -2,7 +2,8 @@
 
 The reports are defined in UTC (``date(loan_date)``, ``timestamptz`` casts), so the
 session time zone is pinned.  ANSI mode stays on: a bad cast raises instead of
-silently producing NULL; a malformed date or number in the source stops the load.
+silently producing NULL; values of the source documents are cast with ``try_cast`` and
+those that do not parse are listed by the load.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ REPORT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # tables bucketed by instance also serve joins by (instance, item)
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

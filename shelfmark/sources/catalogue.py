@@ -18,11 +18,19 @@ way the source system keeps them, so that reports:
 library's source, under the shared folder named by ``spark.checkpoint.dir``; a second
 call (any process) reuses it.  Writing to that folder also cuts the lineage of the
 derivation, so a lost executor recomputes from Parquet, not from the test tables.
+
+The load also checks its input (:mod:`shelfmark.sources.checks`): ids and references are
+brought to one form, values that do not parse become NULL and are listed in a rejects table
+beside the levels, and a repeated id in a table that is joined by it stops the load.
+
+Instances, holdings, items and loans are stored bucketed by the instance they belong to, so
+the joins among them need no shuffle (see ``BUCKETED``).
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import uuid
@@ -33,11 +41,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.sources.schemas import RAW_TABLES
-
-# Members parsed to a typed column in the flattened form (ISO text with an offset
-# becomes an instant; the session zone is pinned to UTC by shelfmark.session).
-_TIMESTAMP_MEMBERS = {"loan": ("loanDate", "dueDate", "returnDate")}
+from shelfmark.sources import checks
+from shelfmark.sources.schemas import ID_MEMBERS, RAW_TABLES, TYPED_MEMBERS
 
 # Tables whose flattened ``__t`` form is kept.
 FLAT_TABLES = ("holdings_record", "item", "location", "loccampus", "loclibrary", "service_point",
@@ -47,16 +52,30 @@ LEVELS = ("doc", "flat", "derived", "index")
 
 # Stored layout: tables the reports filter by a range are range-partitioned and sorted
 # on that column, so Parquet file and row-group statistics skip what is out of range
-# (call-number ranges in R1/R4, loan-date ranges in R2/R3/R6, barcode lookup in R8).  The id
+# (call-number ranges in R1, loan-date ranges in R3/R6, barcode lookup in R8).  The id
 # behind it splits a frequent or NULL value over several ranges.
 LAYOUT = {
-    "flat/holdings_record": ("call_number", "id"),
     "flat/item": ("barcode", "id"),
-    "flat/loan": ("loan_date", "id"),
     "derived/items_holdings_instances": ("call_number", "item_id"),
     "derived/loans_items": ("loan_date", "loan_id"),
 }
 
+# Tables bucketed by instance: (bucket column, columns that a bucket's file is sorted by, for its page statistics).
+# The bucket count is the session's shuffle partitions at load, and a bucket is one file.  Items and loans carry their
+# instance's id for this.  A bucket is read by one task, so a table in which one bucket holds more than
+# ``MOST_IN_BUCKET`` times the mean (one instance with very many items or loans) is stored without buckets;
+# its joins then shuffle, and AQE splits the hot key.
+BUCKETED = {
+    "doc/instance": ("id", ("id",)),
+    "doc/holdings_record": ("instanceid", ("instanceid", "id")),
+    "doc/item": ("instance_id", ("instance_id", "id")),
+    "doc/loan": ("instance_id", ("instance_id", "id")),
+    "flat/holdings_record": ("instance_id", ("call_number", "id")),
+    "flat/loan": ("instance_id", ("loan_date", "id")),
+}
+MOST_IN_BUCKET = 4
+LEAST_TO_MEASURE = 10_000  # rows; smaller tables have uneven buckets by chance and fit in one task anyway
+
 
 def snake(name: str) -> str:
     """camelCase -> snake_case (``permanentLocationId`` -> ``permanent_location_id``)."""
@@ -154,13 +173,34 @@ class Catalogue:
         self.stored = stored
         self.levels = levels if stored else ()
         self._readers: dict[str, DataFrame] = {}
+        self.buckets: dict[str, int] = json.loads((stored and _read_text(spark, f"{stored}/BUCKETS")) or "{}")
 
     def _read(self, rel: str) -> DataFrame:
         # One reader per stored table: the file listing and footer read happen once.
         if rel not in self._readers:
-            self._readers[rel] = self.spark.read.parquet(f"{self.stored}/{rel}")
+            df = self.spark.read.parquet(f"{self.stored}/{rel}")
+            if rel in self.buckets:
+                # Bucketing is known to tables only: name the folder as an external table of this session.
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._table(rel)} ({columns}) USING parquet CLUSTERED BY (`{BUCKETED[rel][0]}`) "
+                               f"INTO {self.buckets[rel]} BUCKETS LOCATION '{self.stored}/{rel}'")
+                df = self.spark.table(self._table(rel))
+            self._readers[rel] = df
         return self._readers[rel]
 
+    def _table(self, rel: str) -> str:
+        return f"shelfmark_{hashlib.sha1(self.stored.encode()).hexdigest()[:12]}_{rel.replace('/', '_')}"
+
+    @property
+    def colocated(self) -> bool:
+        """Instances, holdings and items are bucketed alike: join items by (instance_id, holdings_id) to use it."""
+        return {"doc/instance", "doc/holdings_record", "flat/holdings_record", "doc/item"} <= set(self.buckets) and {"doc", "flat"} <= set(self.levels)
+
+    @property
+    def loans_colocated(self) -> bool:
+        """So are loans: join them by (instance_id, item_id)."""
+        return self.colocated and {"doc/loan", "flat/loan"} <= set(self.buckets)
+
     # -- construction -------------------------------------------------------------
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Catalogue":
@@ -189,10 +229,11 @@ class Catalogue:
         return stored
 
     def materialize(self, path: str) -> "Catalogue":
-        """Write parsed documents, flattened tables and derived tables under ``path``.
+        """Write parsed documents, flattened tables, derived tables and the subject index under ``path``.
 
         Each level is computed from the level written before it, so every job reads
-        Parquet rather than re-deriving from its inputs.
+        Parquet rather than re-deriving from its inputs.  Raises ``DuplicateIds`` if a table that is
+        joined by its id repeats one; values that do not parse are listed in ``rejects``.
         """
         from shelfmark.plans.derived import DERIVED
 
@@ -200,8 +241,20 @@ class Catalogue:
         # partitions, sized for the cluster): otherwise AQE may coalesce a small table into
         # one file, and every later plan that streams it runs in a single task.
         ranges = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        out = Catalogue(self.spark, None, stored=path)  # levels appear in it as they are written
+        buckets: dict[str, int] = {}
 
         def write(df: DataFrame, rel: str) -> None:
+            if rel in BUCKETED:
+                column, order = BUCKETED[rel]
+                if self._even(df, column, ranges):
+                    # one file a bucket: hash partitioning and bucketing agree
+                    df = df.repartition(ranges, column).sortWithinPartitions(*order)
+                    (df.write.mode("overwrite").format("parquet").bucketBy(ranges, column)
+                     .option("path", f"{path}/{rel}").saveAsTable(out._table(rel)))
+                    buckets[rel] = ranges
+                    return
+                df = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
             columns = LAYOUT.get(rel)
             if columns:
                 df = df.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
@@ -214,10 +267,24 @@ class Catalogue:
                 for future in [pool.submit(lambda r=rel, b=build: write(b(), r)) for rel, build in jobs.items()]:
                     future.result()
 
-        write_all({f"doc/{name}": (lambda n=name: self.doc(n)) for name in RAW_TABLES})
+        # Items and loans get the id of their instance from the table written before them.
+        write_all({f"doc/{name}": (lambda n=name: self.doc(n)) for name in RAW_TABLES if name not in ("item", "loan")})
         docs = Catalogue.from_stored(self.spark, path, levels=("doc",))
+        holdings = docs.doc("holdings_record").select(F.col("id").alias("holdingsrecordid"), F.col("instanceid").alias("instance_id"))
+        write_all({"doc/item": lambda: self.doc("item").join(holdings, "holdingsrecordid", "left")})
+        docs = Catalogue.from_stored(self.spark, path, levels=("doc",))
+        items = docs.doc("item").select(F.col("id").alias("item_id"), "instance_id")
+        write_all({"doc/loan": lambda: self.doc("loan").withColumn("item_id", F.col("j.itemId")).join(items, "item_id", "left").drop("item_id"),
+                   "rejects": lambda: checks.rejects(self)})
+        checks.require_unique_ids(docs, f"{path}/duplicate_ids")
+
+        def reopen(*levels: str) -> Catalogue:
+            _write_text_atomic(self.spark, f"{path}/BUCKETS", json.dumps(buckets))
+            return Catalogue.from_stored(self.spark, path, levels=levels)
+
+        docs = reopen("doc")
         write_all({f"flat/{name}": (lambda n=name: docs.flat(n)) for name in FLAT_TABLES})
-        flats = Catalogue.from_stored(self.spark, path, levels=("doc", "flat"))
+        flats = reopen("doc", "flat")
         write_all({f"derived/{name}": (lambda j=job: j(flats)) for name, job in DERIVED.items()})
 
         def write_index(df: DataFrame, name: str, order: list[str] | None) -> DataFrame:
@@ -226,7 +293,13 @@ class Catalogue:
             return self.spark.read.parquet(f"{path}/index/subject_{name}")
 
         flats.subject_index(write_index)
-        return Catalogue.from_stored(self.spark, path)
+        return reopen(*LEVELS)
+
+    @staticmethod
+    def _even(df: DataFrame, column: str, buckets: int) -> bool:
+        """Would no bucket hold much more than its share?  One row a bucket reaches the driver."""
+        counts = [r["n"] for r in df.groupBy(F.pmod(F.hash(column), F.lit(buckets)).alias("bucket")).agg(F.count("*").alias("n")).collect()]
+        return sum(counts) < LEAST_TO_MEASURE or max(counts) <= MOST_IN_BUCKET * sum(counts) / buckets
 
     def computed(self) -> "Catalogue":
         """Same documents, but flattened and derived tables computed instead of read."""
@@ -242,11 +315,19 @@ class Catalogue:
         return self.doc(name).select("id", *keys, F.to_json("j").alias("jsonb"))
 
     def doc(self, name: str) -> DataFrame:
-        """``id``, promoted keys and ``j`` = the parsed document."""
+        """``id``, promoted keys and ``j`` = the parsed document (S1), ids and references in canonical form.
+
+        Stored items and loans also have ``instance_id``.
+        """
         if "doc" in self.levels:
             return self._read(f"doc/{name}")
         keys, schema = RAW_TABLES[name]
-        return self._raw[name].select("id", *keys, F.from_json("jsonb", schema).alias("j"))
+        parsed = self._raw[name].select(*[checks.canonical_id(F.col(c)).alias(c) for c in ("id", *keys)], F.from_json("jsonb", schema).alias("j"))
+        return parsed.withColumn("j", checks.canonical_members(F.col("j"), ID_MEMBERS.get(name, ())))
+
+    def rejects(self) -> DataFrame:
+        """(table, id, member, text) of the values that did not parse (read when stored, else computed)."""
+        return self.spark.read.parquet(f"{self.stored}/rejects") if self.stored else checks.rejects(self)
 
     def flat(self, name: str) -> DataFrame:
         """The ``__t`` table: document members as snake_case columns (F1).
@@ -257,7 +338,7 @@ class Catalogue:
         if "flat" in self.levels and name in FLAT_TABLES:
             return self._read(f"flat/{name}")
         _, schema = RAW_TABLES[name]
-        stamps = _TIMESTAMP_MEMBERS.get(name, ())
+        stamps = [m for m, t in TYPED_MEMBERS.get(name, {}).items() if t == "timestamp"]
         cols = [F.col("id")]
         for field in schema.fields:
             member = F.col("j").getField(field.name)
@@ -265,10 +346,13 @@ class Catalogue:
                 for sub in field.dataType.fields:
                     cols.append(member.getField(sub.name).alias(f"{snake(field.name)}_{snake(sub.name)}"))
             elif field.name in stamps:
-                cols.append(member.cast("timestamp").alias(snake(field.name)))
+                cols.append(member.try_cast("timestamp").alias(snake(field.name)))
             else:
                 cols.append(member.alias(snake(field.name)))
-        return self.doc(name).select(*cols)
+        doc = self.doc(name)
+        if name == "loan" and "instance_id" in doc.columns:
+            cols.append(F.col("instance_id"))
+        return doc.select(*cols)
 
     def derived(self, name: str) -> DataFrame:
         """Derived table D1-D11 by name (read when stored, else computed)."""

@@ -50,7 +50,8 @@ NOTE_TYPES = [
     ("e1f34ba3-6d37-462e-878c-17f922b13d93", "Inventory Date"),
     ("8f99bd3a-706c-45d2-89d8-8eca7fa1c03f", "Invoice"),
 ]
-PRICE_NOTE, PO_NOTE, STAFF_NOTE = NOTE_TYPES[0][0], NOTE_TYPES[1][0], NOTE_TYPES[2][0]
+(PRICE_NOTE, PO_NOTE, STAFF_NOTE, CIRCULATION_NOTE, PUBLIC_NOTE, OWNERSHIP_NOTE, INVENTORY_DATE_NOTE,
+ INVOICE_NOTE) = (note_id for note_id, _ in NOTE_TYPES)
 
 # Statistical codes, indexed 0..5.
 STATISTICAL_CODES = ["Calculator", "Hotspot", "Laptop", "Fiction", "Nonfiction", "Kit"]
@@ -79,6 +80,8 @@ PATRON_GROUPS = [
 LOCATION_SUFFIXES = [" General", " CLE", " Open Lab"]
 STORAGE_NATION = 24
 N_LOCATIONS = 25
+# Two locations share this name; one location has no service point.
+SHARED_NAME, SHARED_NATIONS, NO_SERVICE_POINT_NATION = "Annex General", (6, 9), 13
 
 
 def padded(k: Column, width: int) -> Column:
@@ -92,6 +95,12 @@ def uid(kind: str, k: Column) -> Column:
     return F.concat(F.lit(f"{KIND[kind]}-0000-4000-8000-"), padded(k, 12))
 
 
+def untidy(ident: Column, key: Column) -> Column:
+    """``ident`` as some systems write it: in capitals for key % 17 = 0, padded with blanks for key % 19 = 0."""
+    text = F.when(key % 17 == 0, F.upper(ident)).otherwise(ident)
+    return F.when(key % 19 == 0, F.concat(F.lit(" "), text, F.lit("  "))).otherwise(text)
+
+
 def iso_text(ts: Column) -> Column:
     """Timestamp as ISO text with an explicit UTC offset, as the source system writes it."""
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+00:00"))
@@ -145,14 +154,14 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t["service_point"] = nation.select(uid("service_point", F.col("n_nationkey")).alias("id"),
                                        _doc(F.col("n_name").alias("name")).alias("jsonb"))
     nk = F.col("n_nationkey")
-    loc_name = F.when(nk == STORAGE_NATION, F.lit("Storage")).otherwise(
-        F.concat(F.col("n_name"), _pick(LOCATION_SUFFIXES, nk % 3)))
+    loc_name = (F.when(nk == STORAGE_NATION, F.lit("Storage")).when(nk.isin(*SHARED_NATIONS), F.lit(SHARED_NAME))
+                .otherwise(F.concat(F.col("n_name"), _pick(LOCATION_SUFFIXES, nk % 3))))
     t["location"] = nation.select(
         uid("location", nk).alias("id"),
         _doc(loc_name.alias("name"),
              uid("campus", F.col("n_regionkey")).alias("campusId"),
              uid("library", F.col("n_regionkey")).alias("libraryId"),
-             uid("service_point", nk).alias("primaryServicePoint")).alias("jsonb"))
+             F.when(nk != NO_SERVICE_POINT_NATION, uid("service_point", nk)).alias("primaryServicePoint")).alias("jsonb"))
     t["material_type"] = _lookup(spark, "material_type", [m for _, m in MATERIAL_TYPES])
     t["loan_type"] = _lookup(spark, "loan_type", LOAN_TYPES)
     t["statistical_code"] = spark.createDataFrame(
@@ -181,7 +190,7 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     publication = F.when(key % 4 != 0, F.array(
         F.struct(F.col("p_brand").alias("publisher"), year.alias("dateOfPublication"))))
     codes = F.when(key % 7 != 0, F.filter(
-        F.array(uid("statistical_code", key % 6), uid("statistical_code", (key + 3) % 6)),
+        F.array(untidy(uid("statistical_code", key % 6), key), uid("statistical_code", (key + 3) % 6)),
         lambda x, i: (i == 0) | even))
     cataloged = F.concat(F.lit("2019-"), F.lpad((key % 12 + 1).cast("string"), 2, "0"), F.lit("-"),
                          F.lpad((key % 28 + 1).cast("string"), 2, "0"))
@@ -191,7 +200,8 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
              contributors.alias("contributors"), identifiers.alias("identifiers"),
              subjects.alias("subjects"), publication.alias("publication"),
              F.struct(year.alias("date1"), F.when(even, later).alias("date2")).alias("dates"),
-             F.struct(year.alias("start"), F.when(even, later).alias("end")).alias("publicationPeriod"),
+             F.struct((F.lit(1900) + F.col("p_size")).cast("string").alias("start"),
+                      F.when(key % 3 == 0, (F.lit(1902) + F.col("p_size")).cast("string")).alias("end")).alias("publicationPeriod"),
              codes.alias("statisticalCodeIds")).alias("jsonb"))
 
     size = F.col("p_size").cast("string")
@@ -202,9 +212,9 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                    .when(key % 5 == 3, F.concat(F.lit("E "), size)))
     t["holdings_record"] = part.select(
         uid("holdings", key).alias("id"),
-        uid("instance", key).alias("instanceid"),
+        untidy(uid("instance", key), key).alias("instanceid"),
         uid("location", key % N_LOCATIONS).alias("permanentlocationid"),
-        _doc(uid("instance", key).alias("instanceId"),
+        _doc(untidy(uid("instance", key), key + 1).alias("instanceId"),
              uid("location", key % N_LOCATIONS).alias("permanentLocationId"),
              call_number.alias("callNumber")).alias("jsonb"))
 
@@ -212,7 +222,7 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ikey = F.col("p_partkey") * 2 + F.col("copy")
 
     def note(type_id: str, text: Column) -> Column:
-        return F.struct(F.lit(type_id).alias("itemNoteTypeId"), text.alias("note"))
+        return F.struct(untidy(F.lit(type_id), ikey).alias("itemNoteTypeId"), text.alias("note"))
 
     price_text = F.concat(F.when(ikey % 4 == 0, F.lit("$")).otherwise(F.lit("")),
                           (ikey % 90 + 10).cast("string"), F.lit(".00"))
@@ -220,14 +230,19 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(ikey % 2 == 0, note(PRICE_NOTE, price_text)),
         F.when(ikey % 3 == 0, note(STAFF_NOTE, F.concat(F.lit("checked "), (ikey % 4).cast("string")))),
         F.when(ikey % 6 == 0, note(STAFF_NOTE, F.lit("damaged"))),
-        F.when(ikey % 5 == 1, note(PO_NOTE, F.concat(F.lit("PO-"), ikey.cast("string"))))),
+        F.when(ikey % 5 == 1, note(PO_NOTE, F.concat(F.lit("PO-"), ikey.cast("string")))),
+        F.when(ikey % 8 == 3, note(CIRCULATION_NOTE, F.concat(F.lit("two hours, "), (ikey % 3).cast("string")))),
+        F.when(ikey % 8 == 5, note(PUBLIC_NOTE, F.lit("ask at the desk"))),
+        F.when(ikey % 16 == 9, note(OWNERSHIP_NOTE, F.lit("gift"))),
+        F.when(ikey % 10 == 3, note(INVENTORY_DATE_NOTE, F.concat(F.lit("2021-0"), (ikey % 9 + 1).cast("string")))),
+        F.when(ikey % 10 == 7, note(INVOICE_NOTE, F.concat(F.lit("INV "), ikey.cast("string"))))),
         lambda x: x.isNotNull()))
     mtype = uid("material_type", _index_of([p for p, _ in MATERIAL_TYPES], F.col("p_type")))
     created = F.concat(F.expr("cast(date_add(date'2015-01-01', cast((p_partkey * 2 + copy) % 1000 as int)) as string)"),
                        F.lit("T10:00:00.000+00:00"))
     t["item"] = copies.select(
         uid("item", ikey).alias("id"),
-        uid("holdings", F.col("p_partkey")).alias("holdingsrecordid"),
+        untidy(uid("holdings", F.col("p_partkey")), ikey).alias("holdingsrecordid"),
         uid("location", (F.col("p_partkey") + 7 * F.col("copy")) % N_LOCATIONS).alias("effectivelocationid"),
         mtype.alias("materialtypeid"),
         uid("loan_type", ikey % 3).alias("permanentloantypeid"),
@@ -259,16 +274,18 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                          "l_linestatus", "l_shipdate")
     od = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    loans = li.join(od, "l_orderkey")
+    # some items are never lent
+    item_key = F.col("l_partkey") * 2 + F.col("l_linenumber") % 2
+    loans = li.join(od, "l_orderkey").where(item_key % 50 != 47)
     loan_ts = F.expr("timestampadd(HOUR, l_linenumber, l_shipdate)")
     is_open = F.col("l_linestatus") == "O"
     t["loan"] = loans.select(
         uid("loan", F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-        _doc(uid("item", F.col("l_partkey") * 2 + F.col("l_linenumber") % 2).alias("itemId"),
-             uid("user", F.col("o_custkey")).alias("userId"),
+        _doc(untidy(uid("item", item_key), F.col("l_orderkey")).alias("itemId"),
+             untidy(uid("user", F.col("o_custkey")), F.col("l_orderkey") + 1).alias("userId"),
              F.struct(F.when(is_open, F.lit("Open")).otherwise(F.lit("Closed")).alias("name")).alias("status"),
              F.when(is_open, F.lit("Checked out")).otherwise(F.lit("Available")).alias("itemStatus"),
-             iso_text(loan_ts).alias("loanDate"),
+             F.when(F.col("l_orderkey") % 97 == 0, F.lit("00/00/0000")).otherwise(iso_text(loan_ts)).alias("loanDate"),
              iso_text(F.expr("timestampadd(DAY, 14, timestampadd(HOUR, l_linenumber, l_shipdate))")).alias("dueDate"),
              F.when(~is_open, iso_text(F.expr("timestampadd(DAY, 7, timestampadd(HOUR, l_linenumber, l_shipdate))"))
                     ).alias("returnDate"),
@@ -290,4 +307,7 @@ def build_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
              F.col("title"),
              F.col("o_totalprice").cast("decimal(12,2)").alias("remaining"),
              F.struct(iso_text(F.col("o_orderdate")).alias("updatedDate")).alias("metadata")).alias("jsonb"))
+    # some balances are no numbers
+    t["accounts"] = t["accounts"].withColumn("jsonb", F.when(
+        F.substring("id", -2, 2) == "89", F.regexp_replace("jsonb", r'"remaining":[0-9.]+', '"remaining":"waived"')).otherwise(F.col("jsonb")))
     return t

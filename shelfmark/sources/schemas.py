@@ -100,3 +100,25 @@ RAW_TABLES: dict[str, tuple[tuple[str, ...], T.StructType]] = {
     "groups": ((), GROUP_DOC),
     "accounts": ((), ACCOUNT_DOC),
 }
+
+# Members that hold record ids.  Ids and references are brought to one form when a document is parsed
+# (canonical_id), so upper-case or padded values join.
+ID_MEMBERS: dict[str, tuple[str, ...]] = {
+    "instance": ("statisticalCodeIds",),
+    "holdings_record": ("instanceId", "permanentLocationId"),
+    "item": ("materialTypeId", "notes.itemNoteTypeId", "statisticalCodeIds"),
+    "location": ("campusId", "libraryId", "primaryServicePoint"),
+    "loan": ("itemId", "userId", "itemEffectiveLocationIdAtCheckOut"),
+    "users": ("patronGroup",),
+    "accounts": ("userId", "itemId"),
+}
+
+# Members whose text must parse as a type; what does not parse is NULL and is reported by the load.
+TYPED_MEMBERS: dict[str, dict[str, str]] = {
+    "loan": {"loanDate": "timestamp", "dueDate": "timestamp", "returnDate": "timestamp", "renewalCount": "int"},
+    "item": {"metadata.createdDate": "timestamp"},
+    "accounts": {"remaining": "decimal(38,10)", "metadata.updatedDate": "timestamp"},
+}
+
+# Tables whose ids are joined or grouped by and must be unique (ids of loans and accounts are only counted).
+UNIQUE_IDS = tuple(t for t in RAW_TABLES if t not in ("loan", "accounts"))
