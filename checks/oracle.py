@@ -246,6 +246,10 @@ WHERE CAST(o_totalprice AS DECIMAL(12, 2)) BETWEEN 400.00 AND 1000000.00 AND o_o
 
 ORACLE["fee_balances_high"] = ORACLE["fee_balances"].replace("BETWEEN 400.00 AND 1000000.00", "BETWEEN 400000.00 AND 450000.00")
 
+ORACLE["instance_subject_list"] = q("""
+SELECT instance_id, (SELECT string_agg(DISTINCT lower(x), ', ' ORDER BY lower(x)) FROM unnest(subjects) t(x)) AS subjects
+FROM oi WHERE len(subjects) > 0""")
+
 ORACLE["item_link"] = q("""
 SELECT '<a href="https://library.example.edu/inventory?filters=staffSuppress.false&qindex=items.barcode&query='
        || barcode || '&segment=items&sort=title">' || barcode || '</a>' AS link

@@ -113,10 +113,6 @@ def call_number_list(cat: Catalogue, start_cn: str, end_cn: str | None = None, s
     base = ihi.filter(in_range).select("item_id", "instance_id", "call_number", "barcode", "title",
                                        "material_type_name", "cataloged_date")
 
-    def distinct_join(values: Column) -> Column:
-        s = F.array_sort(F.collect_set(values))
-        return F.when(F.size(s) > 0, F.array_join(s, ", "))
-
     def distinct_list(values: Column) -> Column:
         s = F.array_sort(F.array_distinct(F.filter(values, lambda v: v.isNotNull())))
         return F.when(F.size(s) > 0, F.array_join(s, ", "))
@@ -136,16 +132,19 @@ def call_number_list(cat: Catalogue, start_cn: str, end_cn: str | None = None, s
                       ).alias("instance_identifiers"))
     ext = cat.derived("item_ext").select("item_id", "created_date", "effective_location_name")
     codes = cat.derived("item_statistical_codes").select("item_id", "statistical_code_name").distinct()
-    notes = cat.derived("item_notes").groupBy("item_id").agg(
-        distinct_join(F.when(F.col("note_type_name") == "Staff Note", F.col("note"))).alias("item_notes"))
+    # The filter is a CASE below the aggregate: Spark 4.1 fails on listagg(DISTINCT ..) WITHIN GROUP with FILTER.
+    notes = cat.derived("item_notes").select("item_id", F.when(F.col("note_type_name") == "Staff Note", F.col("note")).alias("staff_note"))
+    notes = notes.groupBy("item_id").agg(F.expr("listagg(DISTINCT staff_note, ', ') WITHIN GROUP (ORDER BY staff_note)").alias("item_notes"))
     renewal_items = cat.derived("loans_renewal_count").select("item_id")
     # One aggregation of the loans of the selected items: distinct loan states with their
-    # counts; the total per item is the sum over its states (a second, much smaller
-    # aggregation).  The filter on n keeps both uses equal, so Spark shares one exchange.
+    # counts; the total per item, a correlated scalar subquery, is the sum over its states (which the
+    # planner makes a second, much smaller aggregation and a left join).  The filter on n keeps both
+    # uses equal, so Spark shares one exchange.
     loan_states = (cat.derived("loans_items").join(base.select("item_id"), "item_id", "left_semi")
                    .groupBy("item_id", "item_status", "loan_date", "loan_return_date", "renewal_count")
                    .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 0))
-    checkouts = loan_states.groupBy("item_id").agg(F.sum("n").alias("total_checkouts"))
+    total_checkouts = (loan_states.alias("loans").where(F.col("loans.item_id") == F.col("items.item_id").outer())
+                       .select(F.sum("loans.n")).scalar())
 
     # The per-instance side first, then every per-item side, so that when the joins are
     # sort-merge the item frame is shuffled once per key.  The loan states -- the
@@ -156,19 +155,28 @@ def call_number_list(cat: Catalogue, start_cn: str, end_cn: str | None = None, s
         .join(codes, "item_id")
         .join(notes, "item_id")
         .join(renewal_items, "item_id", "left_semi")
-        .join(checkouts, "item_id", "left")
-    )
+    ).alias("items").select("*", F.coalesce(total_checkouts, F.lit(0)).cast("int").alias("total_checkouts"))
     rows = loan_states.drop("n").join(items, "item_id")
     out = rows.select(
         "created_date", "effective_location_name", "call_number", "barcode", "title", "material_type_name",
         "cataloged_date", "statistical_code_name", "item_status", "loan_date", "loan_return_date",
-        "renewal_count", F.coalesce("total_checkouts", F.lit(0)).cast("int").alias("total_checkouts"),
-        "item_notes", "instance_identifiers", "instance_publication", "subjects")
+        "renewal_count", "total_checkouts", "item_notes", "instance_identifiers", "instance_publication", "subjects")
     # Barcode and loan date break ties, so a frequent call number can be split over tasks.
     return _sorted(out, sort, F.col("call_number").asc_nulls_last(), F.col("barcode").asc_nulls_last(),
                    F.col("loan_date").asc_nulls_last())
 
 
+def instance_subject_list(cat: Catalogue) -> DataFrame:
+    """R1's subject list of every instance with subjects, from the JSON text that D6 stores.
+
+    The array pass inside R1 gives the same list without a shuffle; this is the form for a caller that has
+    only the derived table.
+    """
+    value = F.lower(F.from_json("subjects", "value STRING").getField("value"))
+    lists = cat.derived("instance_subjects").groupBy("instance_id").agg(F.array_sort(F.collect_set(value)).alias("s"))
+    return lists.select("instance_id", F.when(F.size("s") > 0, F.array_join("s", ", ")).alias("subjects"))
+
+
 # --------------------------------------------------------------------------- R2
 def equipment_checkouts(cat: Catalogue, service_point: str = ALL, status: str = ALL,
                         start_date: str = "2000-01-01", end_date: str = "2050-01-01",

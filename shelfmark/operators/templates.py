@@ -9,7 +9,7 @@ element-expansion join does.
 
 T4/T5 expand code ids and look the names up (broadcast-size lookup).  T6 counts loans
 per item (partial aggregation before the shuffle, then a semi-join with items).  T7
-joins note types, so it expands notes, looks the type up and re-groups by item.
+joins note types, so it expands notes, looks the type up and aggregates per item in array order.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.plans.joins import expand
 from shelfmark.sources.catalogue import Catalogue
 
 STAFF_NOTE_NAME = "Staff Note"
@@ -60,7 +61,8 @@ def identifiers(cat: Catalogue) -> DataFrame:
 
 
 def _code_names(cat: Catalogue, table: str, key: str, alias: str) -> DataFrame:
-    codes = cat.doc(table).select(F.col("id").alias(key), F.explode("j.statisticalCodeIds").alias("code_id"))
+    codes = cat.doc(table).select(F.col("id").alias(key), F.col("j.statisticalCodeIds").alias("codes"))
+    codes = expand(codes, "codes", "pos", "code_id")
     names = cat.flat("statistical_code").select(F.col("id").alias("code_id"), F.col("name").alias(alias))
     return codes.join(names, "code_id").select(key, alias)
 
@@ -84,17 +86,13 @@ def item_checkouts(cat: Catalogue) -> DataFrame:
 
 def item_notes(cat: Catalogue) -> DataFrame:
     """All notes of known type joined by ', ', and the staff notes among them."""
-    notes = cat.doc("item").select(F.col("id").alias("item_id"), F.posexplode("j.notes").alias("pos", "n"))
+    notes = expand(cat.doc("item").select(F.col("id").alias("item_id"), F.col("j.notes").alias("notes")), "notes", "pos", "n")
+    notes = notes.select("item_id", "pos", F.col("n.itemNoteTypeId").alias("type_id"), F.col("n.note").alias("note"))
     types = cat.flat("item_note_type").select(F.col("id").alias("type_id"), F.col("name").alias("type_name"))
-    joined = notes.join(types, F.col("n.itemNoteTypeId") == F.col("type_id"))
-    entry = F.struct(F.col("pos"), F.col("n.note").alias("note"))
-    grouped = joined.groupBy("item_id").agg(
-        F.array_sort(F.collect_list(entry)).alias("all_notes"),
-        F.array_sort(F.collect_list(F.when(F.col("type_name") == STAFF_NOTE_NAME, entry))).alias("staff"))
-    return grouped.select(
-        "item_id",
-        string_agg(F.transform("all_notes", lambda e: e.getField("note"))).alias("notes"),
-        string_agg(F.transform("staff", lambda e: e.getField("note"))).alias("staff_notes"))
+    in_order = "listagg(note, ', ') WITHIN GROUP (ORDER BY pos)"
+    return notes.join(types, "type_id").groupBy("item_id").agg(
+        F.expr(in_order).alias("notes"),
+        F.expr(f"{in_order} FILTER (WHERE type_name = '{STAFF_NOTE_NAME}')").alias("staff_notes"))
 
 
 def primary_publisher(cat: Catalogue) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.plans.joins import expand
 from shelfmark.sources.catalogue import Catalogue
 
 
@@ -78,9 +79,14 @@ def item_ext(cat: Catalogue) -> DataFrame:
         "item_id", "barcode", "status_name", "created_date", "effective_location_id", "effective_location_name")
 
 
+def _arrays(cat: Catalogue, table: str, member: str) -> DataFrame:
+    """(<table>_id, array): one array member of every document."""
+    return cat.doc(table).select(F.col("id").alias(f"{table}_id"), F.col(f"j.{member}").alias("array"))
+
+
 def _codes(cat: Catalogue, table: str, key: str) -> DataFrame:
-    exploded = cat.doc(table).select(F.col("id").alias(key),
-                                     F.posexplode("j.statisticalCodeIds").alias("code_ordinality", "statistical_code_id"))
+    codes = cat.doc(table).select(F.col("id").alias(key), F.col("j.statisticalCodeIds").alias("codes"))
+    exploded = expand(codes, "codes", "code_ordinality", "statistical_code_id")
     return exploded.join(_names(cat, "statistical_code", "statistical_code_id", "statistical_code_name"),
                          "statistical_code_id").select(key, "code_ordinality", "statistical_code_id",
                                                        "statistical_code_name")
@@ -98,31 +104,24 @@ def instance_statistical_codes(cat: Catalogue) -> DataFrame:
 
 def instance_subjects(cat: Catalogue) -> DataFrame:
     """One row per subject; ``subjects`` is the subject element as JSON text."""
-    return cat.doc("instance").select(
-        F.col("id").alias("instance_id"), F.posexplode("j.subjects").alias("subjects_ordinality", "s")
-    ).select("instance_id", "subjects_ordinality", F.to_json("s").alias("subjects"))
+    return expand(_arrays(cat, "instance", "subjects"), "array", "subjects_ordinality", "s").select(
+        "instance_id", "subjects_ordinality", F.to_json("s").alias("subjects"))
 
 
 def instance_publication(cat: Catalogue) -> DataFrame:
     """One row per publication statement."""
-    return cat.doc("instance").select(
-        F.col("id").alias("instance_id"), F.posexplode("j.publication").alias("publication_ordinality", "p")
-    ).select("instance_id", "publication_ordinality", F.col("p.publisher").alias("publisher"),
+    return expand(_arrays(cat, "instance", "publication"), "array", "publication_ordinality", "p").select("instance_id", "publication_ordinality", F.col("p.publisher").alias("publisher"),
              F.col("p.dateOfPublication").alias("date_of_publication"))
 
 
 def instance_identifiers(cat: Catalogue) -> DataFrame:
     """One row per identifier."""
-    return cat.doc("instance").select(
-        F.col("id").alias("instance_id"), F.posexplode("j.identifiers").alias("identifier_ordinality", "i")
-    ).select("instance_id", "identifier_ordinality", F.col("i.value").alias("identifier"))
+    return expand(_arrays(cat, "instance", "identifiers"), "array", "identifier_ordinality", "i").select("instance_id", "identifier_ordinality", F.col("i.value").alias("identifier"))
 
 
 def item_notes(cat: Catalogue) -> DataFrame:
     """One row per item note with the note type's name."""
-    notes = cat.doc("item").select(
-        F.col("id").alias("item_id"), F.posexplode("j.notes").alias("note_ordinality", "n")
-    ).select("item_id", "note_ordinality", F.col("n.itemNoteTypeId").alias("note_type_id"),
+    notes = expand(_arrays(cat, "item", "notes"), "array", "note_ordinality", "n").select("item_id", "note_ordinality", F.col("n.itemNoteTypeId").alias("note_type_id"),
              F.col("n.note").alias("note"))
     return notes.join(_names(cat, "item_note_type", "note_type_id", "note_type_name"), "note_type_id", "left").select(
         "item_id", "note_ordinality", "note_type_id", "note_type_name", "note")

@@ -1,4 +1,4 @@
-"""Join forms that stay balanced when one key holds a large share of the rows.
+"""Lateral expansion, and joins that stay balanced when one key holds a large share of the rows.
 
 AQE splits a skewed shuffle partition only on a side whose rows may be duplicated
 without changing the result: either side of an inner join, but only the preserved side
@@ -12,6 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def expand(df: DataFrame, array: str, position: str, element: str, keep_empty: bool = False) -> DataFrame:
+    """``df CROSS JOIN LATERAL`` the elements of its array column, with their 0-based position.
+
+    A row whose array is NULL or empty goes, or with ``keep_empty`` stays once with NULLs.  The planner turns the
+    lateral join into a Generate in the scan's stage.  (The outer form is the table function's own: of a left
+    lateral join Spark 4.1 drops the rows without elements.)
+    """
+    tvf = df.sparkSession.tvf
+    rows = (tvf.posexplode_outer if keep_empty else tvf.posexplode)(F.col(array).outer())
+    return df.lateralJoin(rows.toDF(position, element))
+
+
 def left_join_skewed_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` for a right side that may be skewed on ``key``.
 

@@ -26,6 +26,7 @@ def canonical_id(value: Column) -> Column:
 
 def canonical_members(doc: Column, members: Iterable[str]) -> Column:
     """``doc`` with the named members (scalar, array of scalars, or ``array.member``) in canonical form."""
+    whole = doc
     for name in members:
         array, _, inner = name.partition(".")
         value = doc.getField(array)
@@ -35,8 +36,8 @@ def canonical_members(doc: Column, members: Iterable[str]) -> Column:
             value = F.transform(value, canonical_id)
         else:
             value = canonical_id(value)
-        doc = doc.withField(array, value)
-    return doc
+        whole = whole.withField(array, value)
+    return whole
 
 
 def _canonical_field(name: str, element: Column) -> Column:
