@@ -9,9 +9,11 @@ the small classes are combined into those of the larger ones, so each shingle is
 function.  Candidates are verified by the exact containment of the item's shingles in the whole
 document.
 
-The benchmark is the query set: it goes through in blocks of about ``ITEM_BLOCK`` short items, whose
-texts are the only broadcast data.  The documents are
-scanned once per block and never shuffled.
+An item of fewer words than a shingle has its whole word sequence as its one shingle and is looked
+up among the documents' shingles of that length.
+
+The benchmark is the query set: it goes through in blocks of about ``BLOCK_BYTES`` of text (or one longer
+item), the only broadcast data.  The documents are scanned once per block and never shuffled.
 """
 
 from __future__ import annotations
@@ -25,18 +27,22 @@ from .common import materialize, prepare, with_defaults
 from .kernels import U, codes, grams, slices, word_hashes, words
 
 FUNCTIONS = 48
-ITEM_BLOCK = 20_000
+BLOCK_BYTES = 8 << 20
 SCHEMA = "doc_id long, item_id long, n_shingles int, n_found int"
 
 
-def _shingles(texts: pa.Array, k: int):
-    """(first row, row count, k-word shingles in text order, per-row offsets) per slice; none under k words."""
+def _words(texts: pa.Array):
+    """(first row, row count, word hashes, each row's first word) per slice."""
     for first, count, data, offs in slices(texts):
         starts, ends, at = words(data, offs)
-        hashes = word_hashes(data, starts, ends, lower=True)
-        every = grams(hashes, k)
-        parts = [every[a:max(a, b - k + 1)] for a, b in zip(at[:-1], at[1:])]
-        yield first, count, np.concatenate(parts) if parts else every[:0], np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        yield first, count, word_hashes(data, starts, ends, lower=True), at
+
+
+def _shingles(hashes: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """k-word shingles in text order and each row's first one; a row of fewer words has none."""
+    every = grams(hashes, k)
+    parts = [every[a:max(a, b - k + 1)] for a, b in zip(at[:-1], at[1:])]
+    return np.concatenate(parts) if parts else every[:0], np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
 class ItemBlock:
@@ -45,11 +51,16 @@ class ItemBlock:
     def __init__(self, ids: list[int], texts: list[str], k: int, percent: int):
         self.k, self.percent = k, percent
         self.ids, self.sets = [], []
-        for first, count, flat, at in _shingles(pa.array(texts, pa.string()), k):
+        self.short: dict[int, dict[int, list[int]]] = {}  # number of words -> their hash -> ids
+        for first, count, hashes, at in _words(pa.array(texts, pa.string())):
             for d in range(count):
-                if at[d + 1] > at[d]:
+                own = hashes[at[d]:at[d + 1]]
+                if len(own) >= k:
                     self.ids.append(ids[first + d])
-                    self.sets.append(np.unique(flat[at[d]:at[d + 1]]))
+                    self.sets.append(np.unique(grams(own, k)))
+                elif len(own):
+                    self.short.setdefault(len(own), {}).setdefault(int(grams(own, len(own))[0]), []).append(ids[first + d])
+        self.short_keys = {n: np.sort(np.array(list(table), U)) for n, table in self.short.items()}
         self.flips, self.factors = codes(FUNCTIONS, 21), codes(FUNCTIONS, 23) | U(1)
         self.classes = {}
         for c in sorted({int(len(s) - 1).bit_length() for s in self.sets}):
@@ -103,8 +114,16 @@ class ItemBlock:
         return found
 
     def matches(self, texts: pa.Array):
-        """(row, item position, shingles of the item in the row's text) of the rows that hold an item."""
-        for first, _, flat, at in _shingles(texts, self.k):
+        """(row, item id, shingles of the item, those in the row's text) of the rows that hold an item."""
+        for first, _, hashes, words_at in _words(texts):
+            for n, keys in self.short_keys.items():
+                every, starts = _shingles(hashes, words_at, n)
+                where = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, every), len(keys) - 1)] == every)
+                rows = np.searchsorted(starts, where, "right") - 1
+                for d, key in sorted(set(zip(rows.tolist(), every[where].tolist()))):
+                    for item in self.short[n][key]:
+                        yield first + d, item, 1, 1
+            flat, at = _shingles(hashes, words_at, self.k)
             by_doc: dict[int, list[int]] = {}
             for d, i in sorted(self.candidates(flat, at)):
                 by_doc.setdefault(d, []).append(i)
@@ -114,7 +133,7 @@ class ItemBlock:
                     item = self.sets[i]
                     hit = int(np.count_nonzero(own[np.minimum(np.searchsorted(own, item), len(own) - 1)] == item))
                     if 100 * hit >= self.percent * len(item):
-                        yield first + d, i, hit
+                        yield first + d, self.ids[i], len(item), hit
 
 
 def _searcher(shared, k: int, percent: int):
@@ -124,8 +143,8 @@ def _searcher(shared, k: int, percent: int):
             rows = list(block.matches(batch.column("text")))
             ids = batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([block.ids[r[1]] for r in rows], pa.int64()), pa.array([len(block.sets[r[1]]) for r in rows], pa.int32()),
-                 pa.array([r[2] for r in rows], pa.int32())], ["doc_id", "item_id", "n_shingles", "n_found"])
+                [ids, pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()),
+                 pa.array([r[3] for r in rows], pa.int32())], ["doc_id", "item_id", "n_shingles", "n_found"])
     return run
 
 
@@ -133,18 +152,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int
     """Pairs (doc_id, item_id, n_shingles, n_found) where the document holds the item.
 
     A document (doc_id, text) holds an item (item_id, text) if at least ``percent`` % of the
-    item's distinct k-word shingles (A-Z in lower case) occur in its text.  Items and documents
-    of fewer than k words, null texts and rows with a null doc_id or item_id take no part.
-    Repeated rows give one pair.  Other columns are ignored.
+    item's distinct k-word shingles (A-Z in lower case) occur in its text; an item of fewer words
+    has its whole word sequence as its one shingle.  Null texts, items without words and rows with a
+    null doc_id or item_id take no part.  Repeated rows give one pair.  Other columns are ignored.
     """
     spark = prepare(docs.sparkSession)
     docs = with_defaults(docs, {"doc_id": "long", "text": "string"}).where("doc_id IS NOT NULL")
     items = with_defaults(benchmark, {"item_id": "long", "text": "string"}).where("item_id IS NOT NULL AND text IS NOT NULL")
-    total = items.count()
-    parts = max(1, -(-total // ITEM_BLOCK))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-total // BLOCK_BYTES))
     found = None
     for part in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part) if parts > 1 else items
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
         rows = own.distinct().collect()  # one block of query items
         shared = spark.sparkContext.broadcast(([r.item_id for r in rows], [r.text for r in rows]))
         hits = docs.mapInArrow(_searcher(shared, k, percent), SCHEMA)

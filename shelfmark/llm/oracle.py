@@ -90,9 +90,14 @@ FROM w LEFT JOIN gone USING (doc_id)""",
     "op10_decontamination": f"""
 WITH {_grams('d', 'documents', 'doc_id', _words(_LOWER), 5)},
 {_grams('t', 'benchmark', 'item_id', _words(_LOWER), 5)},
-n AS (SELECT item_id, count(*) AS n FROM t GROUP BY 1)
+n AS (SELECT item_id, count(*) AS n FROM t GROUP BY 1),
+short AS (SELECT DISTINCT item_id, ' ' || array_to_string(ws, ' ') || ' ' AS s FROM (SELECT item_id, {_words(_LOWER)} AS ws FROM benchmark)
+          WHERE len(ws) BETWEEN 1 AND 4),
+spaced AS (SELECT doc_id, ' ' || array_to_string({_words(_LOWER)}, ' ') || ' ' AS s FROM documents)
 SELECT doc_id, item_id, n.n::INT AS n_shingles, count(*)::INT AS n_found
-FROM d JOIN t USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n.n HAVING 100 * count(*) >= 80 * n.n""",
+FROM d JOIN t USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n.n HAVING 100 * count(*) >= 80 * n.n
+UNION
+SELECT doc_id, item_id, 1, 1 FROM spaced JOIN short ON contains(spaced.s, short.s)""",
     "op11_centroid_clustering": f"""
 WITH q AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE len(embedding) = 64 AND list_aggregate(list_transform(embedding, lambda x: (x IS NOT NULL AND isfinite(x))::INT), 'min') = 1),
