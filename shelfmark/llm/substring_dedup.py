@@ -11,7 +11,7 @@
    every inner window has the occurrences of the path's nodes, hence one first document.
 3. Verification.  A path occurrence is removed only if the sequence at its source coordinates
    (first document, same head, same length) has the same 128-bit sequence hash.
-4. Windows that lie across path ends are compared one by one by their sequence hash.
+4. Windows that lie across path ends are compared one by one by a 128-bit hash of their words.
 
 No step pairs occurrences with each other: all are aggregations per hash and joins with one
 row per hash, so a passage in every third document costs its own length per document.
@@ -109,7 +109,7 @@ def _scanner(k: int, window: int):
 
 
 SCAN = "doc_id long, tkey long, n_words long, sha string, pos array<int>, gram array<long>, edge array<long>"
-SPANS = ("doc_id long, tkey long, text string, win array<long>, win_at array<int>, head array<long>, "
+SPANS = ("doc_id long, tkey long, text string, win array<long>, win2 array<long>, win_at array<int>, head array<long>, "
          "h1 array<long>, h2 array<long>, run_at array<int>, run_len array<int>, first_doc array<long>")
 
 
@@ -141,7 +141,7 @@ def _spanner(k: int, window: int):
         big = np.flatnonzero(long_)
         one_, two = _sums(hashes, 3), _sums(hashes, 5)
         a, b = run_at[big], run_end[big]
-        return (_span_hash(one_, s, s + window), s, g[heads][big], _span_hash(one_, a, b), _span_hash(two, a, b),
+        return (_span_hash(one_, s, s + window), _span_hash(two, s, s + window), s, g[heads][big], _span_hash(one_, a, b), _span_hash(two, a, b),
                 a, b - a, first[heads][big])
 
     def run(batches):
@@ -150,11 +150,11 @@ def _spanner(k: int, window: int):
             rows = [one(hashes, known[i]) for i, hashes, _ in _docs_of(batch)]
             if not rows:
                 continue
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
             cols = [_lists([np.asarray(r[c]).view(np.int64) for r in rows], kind) for c, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tkey"), batch.column("text"), *cols],
-                ["doc_id", "tkey", "text", "win", "win_at", "head", "h1", "h2", "run_at", "run_len", "first_doc"])
+                ["doc_id", "tkey", "text", "win", "win2", "win_at", "head", "h1", "h2", "run_at", "run_len", "first_doc"])
     return run
 
 
@@ -204,9 +204,10 @@ def substring_dedup(docs: DataFrame, window: int = 50) -> DataFrame:
     shared = (nodes.groupBy("gram").agg(F.count("*").alias("cnt"), F.min("doc_id").alias("first_doc"),
                                         F.max("doc_id").alias("last_doc"))
               .where("first_doc < last_doc").drop("last_doc"))
-    nodes = materialize(nodes.join(shared, "gram"), "nodes")
+    # An aggregate joined back to its own input shares its exchange, which AQE cannot split; written first, it can.
+    nodes = materialize(nodes.join(materialize(shared, "shared"), "gram"), "nodes")
     edges = nodes.where("edge <> 0 AND cnt > 1").groupBy("edge").agg(F.count("*").alias("edge_cnt")).where("edge_cnt > 1")
-    paths = (nodes.join(edges, "edge", "left")
+    paths = (nodes.join(materialize(edges, "edges"), "edge", "left")
              .groupBy("doc_id", "tkey")
              .agg(F.sort_array(F.collect_set(F.struct(
                  "pos", "cnt", "first_doc", F.coalesce(F.expr("edge_cnt = cnt"), F.lit(False)).alias("solid")))).alias("anchors")))
@@ -218,9 +219,9 @@ def substring_dedup(docs: DataFrame, window: int = 50) -> DataFrame:
     source = (runs.where("doc_id = first_doc").select("head", "h1", "h2", "run_len", "first_doc").distinct())
     runs = (runs.where("doc_id > first_doc").join(source, ["head", "h1", "h2", "run_len", "first_doc"], "left_semi")
             .select("doc_id", "tkey", F.col("run_at").alias("start"), F.col("run_len").alias("length")))
-    wins = found.select("doc_id", "tkey", F.inline(F.arrays_zip("win", "win_at")))
-    low = (wins.groupBy("win").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("win", "lo"))
-    wins = (wins.join(low, "win").where("doc_id > lo")
+    wins = found.select("doc_id", "tkey", F.inline(F.arrays_zip("win", "win2", "win_at")))
+    low = (wins.groupBy("win", "win2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("win", "win2", "lo"))
+    wins = (wins.join(materialize(low, "window_sources"), ["win", "win2"]).where("doc_id > lo")
             .select("doc_id", "tkey", F.col("win_at").alias("start"), F.lit(window).alias("length")))
     cuts = (runs.unionAll(wins).groupBy("doc_id", "tkey")
             .agg(F.collect_set(F.struct("start", "length")).alias("spans")))
