@@ -69,3 +69,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def with_defaults(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Select just ``columns`` (name -> type), so extra or clashing columns cannot interfere."""
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so (Spark compares without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, with_defaults
+from .common import prepare, unused, with_defaults
 
 FIT_DOCS = 3000
 SMOOTH = 0.5
@@ -35,8 +35,14 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def letter_words(text: str) -> list[str]:
-    """Lower-case runs of letters of a whole text."""
-    return [w for w in _LETTERS.findall(text.lower()) if w.isalpha()] or ["".join(c) for c in [[c for c in text.lower() if c.isalpha()]] if c]
+    """Lower-case runs of letters of a whole text; signs that are no letters (``²``, vowel signs) part runs."""
+    out = []
+    for run in _LETTERS.findall(text.lower()):
+        if run.isalpha():
+            out.append(run)
+        else:
+            out += "".join(c if c.isalpha() else " " for c in run).split()
+    return out
 
 
 def _parts(word: str) -> list[str]:
@@ -177,13 +183,13 @@ def fit(labelled: DataFrame, model_path: str) -> tuple[list[str], list[str], np.
     return langs, [pieces[i] for i in usable], counts
 
 
-def _predictor(shared):
+def _predictor(shared, names: list[str]):
     def run(batches):
         langs, pieces, counts = shared.value
         scorer = Scorer(pieces, counts) if langs else None
         for batch in batches:
             best, score = [], []
-            bags = [Counter(letter_words(t.as_py() or "")) if scorer else Counter() for t in batch.column("__text")]
+            bags = [Counter(letter_words(t.as_py() or "")) if scorer else Counter() for t in batch.columns[-1]]
             if scorer:
                 scorer.learn(list(set().union(*bags)))
             for bag in bags:
@@ -195,23 +201,23 @@ def _predictor(shared):
                 top = int(total.argmax())
                 best.append(langs[top])
                 score.append(float(1.0 / np.exp(total - total[top]).sum()))
-            out = batch.drop_columns(["__text"])
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(best, pa.string()), pa.array(score, pa.float64())],
-                                             [*out.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(best, pa.string()), pa.array(score, pa.float64())], names)
     return run
 
 
-def predict(docs: DataFrame, fitted, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default doc_id) plus lang_pred and score (the posterior, 0 to 1).
+def predict(docs: DataFrame, fitted, text: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns (default doc_id) plus the language and its score (the posterior, 0 to 1), called ``names``.
 
     A null text, one without letters, or a fit without languages gives ``und`` with score 0.
-    Ties go to the language that sorts first.  Every row gives one row.
+    Ties go to the language that sorts first.  Every row gives one row.  Kept columns called like one of
+    ``names`` are replaced; no other name clashes.
     """
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(fitted)  # vocabulary x languages numbers
-    kept = docs.select(*[F.col(f"`{c}`") for c in keep or ["doc_id"]], F.col(f"`{text}`").cast("string").alias("__text"))
-    schema = T.StructType(kept.schema.fields[:-1] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return kept.mapInArrow(_predictor(shared), schema)
+    kept = [c for c in keep or ["doc_id"] if c.lower() not in names]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(unused(kept, "text")))
+    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return rows.mapInArrow(_predictor(shared, schema.names), schema)
 
 
 def held_out(column: str = "doc_id"):

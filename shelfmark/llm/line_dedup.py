@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, prepare
+from .common import materialize, prepare, unused
 
 DIVISOR = 4
 MIN_LINES = 2
@@ -67,11 +67,11 @@ def _cut_out(batches):
                                          ["doc_id", "tkey", "first", "after", "md5", "head", "bytes"])
 
 
-def _rebuild(column: str):
+def _rebuild(column: str, cuts_column: str, removed_column: str):
     def run(batches):
         for batch in batches:
             texts, removed = [], []
-            for text, cuts in zip(batch.column(column), batch.column("__cuts").to_pylist()):
+            for text, cuts in zip(batch.column(column), batch.column(cuts_column).to_pylist()):
                 if not cuts:
                     texts.append(text.as_py())
                     removed.append(0)
@@ -80,27 +80,28 @@ def _rebuild(column: str):
                 gone = {i for c in cuts for i in range(c["first"], c["after"])}
                 texts.append("\n".join([x for i, x in enumerate(lines) if i not in gone]))
                 removed.append(len(gone))
-            out = batch.drop_columns(["__cuts"])
+            out = batch.drop_columns([cuts_column])
             out = out.set_column(out.schema.get_field_index(column), column, pa.array(texts, pa.string()))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(removed, pa.int32())], [*out.schema.names, "lines_removed"])
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(removed, pa.int32())], [*out.schema.names, removed_column])
     return run
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` (doc_id, text, ...), text without repeated chunks, plus lines_removed.
+def line_dedup(docs: DataFrame, removed: str = "lines_removed") -> DataFrame:
+    """All columns of ``docs`` (doc_id, text, ...), text without repeated chunks, plus the lines removed, called ``removed``.
 
     Every row gives one row.  A null text stays null; an empty one stays empty.  A row with a
     null doc_id stays as it is and counts for nothing.  Rows that repeat both doc_id and text
-    are one document.  A column named lines_removed is replaced; other columns pass through.
+    are one document.  A column called ``removed`` is replaced; other columns pass through, whatever their names.
     """
     prepare(docs.sparkSession)
-    docs = docs.drop("lines_removed")
+    docs = docs.drop(removed)
+    doc, key, cuts = (unused(docs.columns, c) for c in ("cut_doc", "cut_key", "cuts"))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), F.col("text").cast("string").alias("text"))
     slim = slim.where("doc_id IS NOT NULL")
     found = materialize(slim.mapInArrow(_scan, "doc_id long, tkey long, first int, after int, md5 string"), "chunks").distinct()
     heads = (found.groupBy("md5").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tkey", "first")).alias("at"))
              .where("n > 1").drop("n"))
-    wanted = (found.join(heads, "md5")
+    wanted = (found.join(materialize(heads, "heads"), "md5")
               .groupBy("doc_id", "tkey")
               .agg(F.collect_list(F.struct("first", "after", "md5", (F.struct("doc_id", "tkey", "first") == F.col("at")).alias("head"))).alias("wanted")))
     cut = (slim.join(wanted, ["doc_id", "tkey"]).dropDuplicates(["doc_id", "tkey"]).select("doc_id", "tkey", "text", "wanted")
@@ -108,9 +109,9 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     cut = materialize(cut, "repeated")
     kept = cut.where("head").select("md5", F.col("bytes").alias("kept"))
     gone = (cut.where("NOT head").join(kept, "md5").where("bytes = kept")
-            .groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("first", "after")).alias("__cuts"))
-            .select(F.col("doc_id").alias("__doc"), F.col("tkey").alias("__key"), "__cuts"))
-    same = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64("text") == F.col("__key"))
-    rows = docs.join(gone, same, "left").drop("__doc", "__key")
+            .groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("first", "after")).alias(cuts))
+            .select(F.col("doc_id").alias(doc), F.col("tkey").alias(key), cuts))
+    same = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64("text") == F.col(key))
+    rows = docs.join(gone, same, "left").drop(doc, key)
     fields = [T.StructField("text", T.StringType()) if f.name == "text" else f for f in docs.schema.fields]
-    return rows.mapInArrow(_rebuild("text"), T.StructType(fields + [T.StructField("lines_removed", T.IntegerType())]))
+    return rows.mapInArrow(_rebuild("text", cuts, removed), T.StructType(fields + [T.StructField(removed, T.IntegerType())]))

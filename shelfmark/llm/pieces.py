@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare
+from .common import prepare, unused
 
 MARK = "▁"
 TABLE_WORDS = 200_000
@@ -85,32 +85,32 @@ class WordTable:
         return out
 
 
-def _encoder(model: bytes):
+def _encoder(model: bytes, names: list[str]):
     def run(batches):
         table = WordTable(model)
         for whole in batches:
             for first in range(0, whole.num_rows, 64):
                 batch = whole.slice(first, 64)
-                pairs = table.encode([t.as_py() or "" for t in batch.column("__text")])
-                out = batch.drop_columns(["__text"])
+                pairs = table.encode([t.as_py() or "" for t in batch.columns[-1]])
                 ends = np.cumsum([0] + [len(p[0]) for p in pairs])
                 flat = np.fromiter(chain.from_iterable(p[0] for p in pairs), np.int32, ends[-1])
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*out.columns, ids, pa.array([p[1] for p in pairs], pa.string())],
-                                                 [*out.schema.names, "piece_ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, pa.array([p[1] for p in pairs], pa.string())], names)
     return run
 
 
-def encode_decode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns plus piece_ids (array<int>) and decoded, as the library gives them.
+def encode_decode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None,
+                  names: tuple[str, str] = ("piece_ids", "decoded")) -> DataFrame:
+    """``keep`` columns plus the ids (array<int>) and the text they decode to, called ``names``, as the library gives them.
 
-    piece_ids equals ``encode(text)`` without begin or end ids, decoded equals
-    ``decode(piece_ids)``.  A null or empty text has no ids and decodes to ''.  Every row gives
-    one row; other columns than ``keep`` are dropped (default: doc_id).
+    The ids equal ``encode(text)`` without begin or end ids, the text equals ``decode(ids)``.  A null or
+    empty text has no ids and decodes to ''.  Every row gives one row; other columns than ``keep``
+    are dropped (default: doc_id), and kept columns called like one of ``names`` are replaced.
     """
     prepare(docs.sparkSession)
     with open(model_path, "rb") as f:
         model = f.read()
-    kept = docs.select(*[F.col(f"`{c}`") for c in keep or ["doc_id"]])
-    schema = T.StructType(kept.schema.fields + [T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
-    return docs.select(*[F.col(f"`{c}`") for c in keep or ["doc_id"]], F.col(f"`{text}`").alias("__text")).mapInArrow(_encoder(model), schema)
+    kept = [c for c in keep or ["doc_id"] if c.lower() not in names]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(unused(kept, "text")))
+    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField(names[0], T.ArrayType(T.IntegerType())), T.StructField(names[1], T.StringType())])
+    return rows.mapInArrow(_encoder(model, schema.names), schema)
