@@ -1,9 +1,9 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014.)  Each step is a
-group-by-minimum with map-side combine and a join whose streamed side AQE can split, so a
-node with very many neighbours never meets in one task.  Every step is written to the
-shared folder; only two numbers per step reach the driver.
+group-by-minimum with map-side combine, written to the shared folder, and a join of the edges with
+that table.  (Unwritten, the aggregate would share the join's exchange, which AQE does not split.)  So
+a node with very many neighbours never meets in one task.  Only two numbers per step reach the driver.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from .common import materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(materialize(low, "low"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    low = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "low")
     moved = down.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 

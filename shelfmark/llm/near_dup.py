@@ -154,7 +154,7 @@ def _class_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> D
     # A class can only share a table key if it shares a sub-key of each collection.
     subs = classes.select("rep", "n_shingles", F.posexplode("subs").alias("i", "sub"))
     shared = subs.groupBy("i", "sub").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    live = (subs.join(shared, ["i", "sub"]).groupBy("rep", "n_shingles")
+    live = (subs.join(materialize(shared, "shared"), ["i", "sub"]).groupBy("rep", "n_shingles")
             .agg(F.collect_list(F.when(F.col("i") < SUBS, F.struct("i", "sub"))).alias("a"),
                  F.collect_list(F.when(F.col("i") >= SUBS, F.struct("i", "sub"))).alias("b"))
             .where((F.size("a") > 0) & (F.size("b") > 0)))
@@ -162,7 +162,7 @@ def _class_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> D
     bands = (live.withColumn("x", F.explode("a")).withColumn("y", F.explode("b"))
              .select(F.xxhash64("x.i", "y.i", "x.sub", "y.sub").alias("key"), "rep", F.col("n_shingles").alias("n")))
     stars = bands.groupBy("key").agg(F.min("rep").alias("u"), F.count("*").alias("members")).where("members > 1")
-    stars = bands.join(stars, "key").where("rep <> u").select("u", F.col("rep").alias("v"), F.col("n").alias("n_v"))
+    stars = bands.join(materialize(stars, "buckets"), "key").where("rep <> u").select("u", F.col("rep").alias("v"), F.col("n").alias("n_v"))
     stars = materialize(stars.distinct(), "stars")
     ids = stars.select(F.explode(F.array("u", "v")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("stars"))
     ids = materialize(ids, "candidates").where("stars > 0")

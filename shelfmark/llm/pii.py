@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, prepare
+from .common import materialize, prepare, unused
 
 # fixed values: titles by gender, and name parts by gender and script
 TITLES = {
@@ -239,6 +239,7 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     """
     prepare(docs.sparkSession)
     docs = docs.drop("n_entities", "entity_kinds")
+    digest, own = unused(docs.columns, "digest"), unused(docs.columns, "made")
     found = F.regexp_extract_all(F.col("text").cast("string"), F.lit(PATTERN), F.lit(0))
     spans = (docs.select(F.md5("text").alias("digest"), found.alias("found")).where("size(found) > 0")
              .select("digest", F.posexplode("found").alias("at", "raw")).distinct())
@@ -251,11 +252,13 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.struct("place", _formatted(F.col("piece"), F.col("surrogate"), F.col("unit")).alias("s")))).alias("parts"))
             .select("raw", "kind", F.concat("prefix", F.array_join(F.col("parts.s"), " ")).alias("surrogate")))
     lists = (spans.join(materialize(made, "mentions"), "raw").groupBy("digest")
-             .agg(F.array_sort(F.collect_list(F.struct("at", "surrogate", "kind"))).alias("__made")))
-    rows = docs.join(lists.withColumnRenamed("digest", "__digest"), F.md5("text") == F.col("__digest"), "left")
+             .agg(F.array_sort(F.collect_list(F.struct("at", "surrogate", "kind"))).alias(own)))
+    # written, so that AQE can split the copies of one text
+    lists = materialize(lists.withColumnRenamed("digest", digest), "lists")
+    rows = docs.join(lists, F.md5("text") == F.col(digest), "left")
     gaps = F.split("text", PATTERN, -1)
-    rebuilt = F.array_join(F.zip_with(gaps, "__made.surrogate", lambda gap, s: F.concat(gap, F.coalesce(s, F.lit("")))), "")
-    return rows.select(*[F.when(F.col("__made").isNull(), F.col("text")).otherwise(rebuilt).alias("text") if c == "text" else F.col(f"`{c}`")
+    rebuilt = F.array_join(F.zip_with(gaps, f"{own}.surrogate", lambda gap, s: F.concat(gap, F.coalesce(s, F.lit("")))), "")
+    return rows.select(*[F.when(F.col(own).isNull(), F.col("text")).otherwise(rebuilt).alias("text") if c == "text" else F.col(f"`{c}`")
                          for c in docs.columns],
-                       F.coalesce(F.size("__made"), F.lit(0)).alias("n_entities"),
-                       F.coalesce(F.array_sort(F.array_distinct("__made.kind")), F.array().cast("array<string>")).alias("entity_kinds"))
+                       F.coalesce(F.size(own), F.lit(0)).alias("n_entities"),
+                       F.coalesce(F.array_sort(F.array_distinct(f"{own}.kind")), F.array().cast("array<string>")).alias("entity_kinds"))

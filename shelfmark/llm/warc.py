@@ -105,7 +105,7 @@ def write_archives(pages: DataFrame, min_payload: int = 0) -> DataFrame:
     groups = (pages.where(F.col("size") >= min_payload).groupBy("sha1", "size")
               .agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 AND last IS NOT NULL").drop("n"))
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
-    rows = pages.join(groups, ["sha1", "size"], "left").select(
+    rows = pages.join(materialize(groups, "payload_groups"), ["sha1", "size"], "left").select(
         "page_id", "url", F.when(refers.isNull(), F.col("html")).alias("html"), "sha1", refers.alias("refers_to"))
     return materialize(rows.mapInArrow(_writer(new_folder(spark, "archives")), "path string, records long"), "manifest")
 
@@ -187,7 +187,11 @@ def read_archives(manifest: DataFrame, folder_uri: str | None = None, payloads:
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """``records`` with the payload_bytes of revisits taken from the response that they refer to."""
+    """``records`` with the payload_bytes of revisits taken from the response that they refer to.
+
+    The records are written once without payloads, so the archives are read once.
+    """
+    records = materialize(records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), "records")
     source = (records.where("record_type = 'response' AND page_id IS NOT NULL")
               .select(F.col("page_id").alias("s_page"), F.col("payload_digest").alias("s_digest"), F.col("payload_bytes").alias("s_bytes"))
               .distinct())

@@ -227,3 +227,48 @@ def test_url_blocks_split_a_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert seen == {"org/": 13334, "example.org/es/": 26666}
+
+
+# ---------------------------------------------------------------------------- short items, letters, hot keys
+def test_short_benchmark_items_are_one_shingle(spark):
+    from shelfmark.llm.decontaminate import contaminated
+    items = [(1, "yes"), (2, "Red CAR"), (3, "a b c d"), (4, "one two three four five six"), (5, ""), (6, None), (7, "a b c d"), (None, "yes")]
+    texts = [(1, "oh YES it is"), (2, "yesterday"), (3, "a red car"), (4, "red"), (5, "x a b c d y a b c d"), (6, "a b c"), (7, "one two three four five six"), (8, None),
+             (9, "red  car"), (9, "yes"), (10, "one two three four five nine"), (11, "a b c\nd")]
+    table = spark.createDataFrame([(*t, 1) for t in texts], "doc_id long, text string, n_found int").repartition(3)
+    got = sorted(map(tuple, contaminated(table, spark.createDataFrame(items, "item_id long, text string")).collect()))
+    assert got == [(1, 1, 1, 1), (3, 2, 1, 1), (5, 3, 1, 1), (5, 7, 1, 1), (7, 4, 2, 2), (9, 1, 1, 1), (9, 2, 1, 1), (11, 3, 1, 1), (11, 7, 1, 1)]
+
+
+def test_items_in_several_blocks(spark, monkeypatch):
+    from shelfmark.llm import decontaminate
+    items = spark.createDataFrame([(i, f"w{i} common words in an item {i}") for i in range(30)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"start w{i} common words in an item {i} end") for i in range(0, 30, 2)], "doc_id long, text string")
+    whole = sorted(map(tuple, decontaminate.contaminated(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
+    assert sorted(map(tuple, decontaminate.contaminated(docs, items).collect())) == whole and len(whole) == 15
+
+
+def test_letters_beside_other_signs_are_read():
+    from shelfmark.llm.langid import letter_words
+    assert letter_words("m² und x² JA a_b 3c") == ["m", "und", "x", "ja", "a", "b", "c"]
+    assert letter_words("² 12 _") == []
+
+
+SPLIT = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+
+
+def test_joins_with_a_written_aggregate_split_a_hot_node(spark):
+    from pyspark.sql import functions as F
+    from shelfmark.llm.common import settings
+    from shelfmark.llm.components import _large_star, connected_components
+    far = F.sha2(F.col("id").cast("string"), 256)
+    edges = spark.range(60_000).select(F.when(F.col("id") % 10 < 6, F.lit("hub")).otherwise(F.concat(F.lit("x"), F.col("id") % 5000)).alias("u"),
+                                       F.concat(F.lit("z"), far).alias("v")).repartition(8)
+    with settings(spark, SPLIT):
+        step = _large_star(edges)
+        step.collect()
+        assert "skew=true" in step._jdf.queryExecution().executedPlan().toString()
+    whole = {r.node: r.component for r in connected_components(edges, "u", "v").collect()}
+    assert sum(c == "hub" for c in whole.values()) == 36_001

@@ -186,7 +186,7 @@ def test_item_blocks_cover_all_items(spark, monkeypatch):
 
     texts = [(i, " ".join(prose(12))) for i in range(40)]
     df = spark.createDataFrame(texts, "item_id long, text string")
-    monkeypatch.setattr(D, "ITEM_BLOCK", 7)
+    monkeypatch.setattr(D, "BLOCK_BYTES", 400)
     got = contaminated(df.withColumnRenamed("item_id", "doc_id"), df).collect()
     assert {(r.doc_id, r.item_id) for r in got} >= {(i, i) for i, _ in texts}
 

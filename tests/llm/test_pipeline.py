@@ -63,3 +63,38 @@ def test_near_dedup_keeps_every_text_of_an_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = corpus_pipeline.near_dedup(spark, docs, DIR).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, a, "x"), (1, b, "x"), (None, a, "x")], key=str)
+
+
+CLASH = ["score", "lang_pred", "piece_ids", "decoded", "n_tokens", "round_trip", "lines_removed", "cuts", "cut_doc", "rest", "tkey", "component_id", "kept", "node"]
+
+
+def rows_of(docs):
+    return sorted((str(r[0]), str(r["text"]), *[r[c] for c in CLASH if c in r.__fields__ and c not in ("piece_ids", "n_tokens", "round_trip")]) for r in docs.collect())
+
+
+def test_every_stage_passes_columns_called_like_its_own(spark):
+    plain = spark.read.parquet(f"{DIR}/documents.parquet")
+    docs = plain.select("*", *[(plain.doc_id + i).cast("string").alias(c) for i, c in enumerate(CLASH)])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, DIR)
+        same = stage(spark, plain, DIR)
+        if name != "sentencepiece":
+            assert out.columns == docs.columns and same.columns == plain.columns
+        else:
+            assert out.columns == [c for c in docs.columns if c not in ("piece_ids", "n_tokens", "round_trip")] + ["piece_ids", "n_tokens", "round_trip"]
+            assert sorted(map(tuple, out.select("doc_id", "n_tokens", "round_trip").collect())) == sorted(map(tuple, same.select("doc_id", "n_tokens", "round_trip").collect()))
+        got = {r.doc_id: r for r in out.collect()}
+        assert {i: r.text for i, r in got.items()} == {r.doc_id: r.text for r in same.collect()}
+        for i, r in got.items():
+            assert all(r[c] == str(i + n) for n, c in enumerate(CLASH) if c not in ("piece_ids", "n_tokens", "round_trip")), name
+
+
+def test_every_stage_takes_empty_tables_and_null_texts(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    none = spark.createDataFrame([], schema)
+    nulls = spark.createDataFrame([(1, None, None, None, None), (None, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0)], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, none, DIR)
+        assert out.collect() == [] and out.columns[:5] == none.columns
+        kept = stage(spark, nulls, DIR).count()
+        assert kept == {"language_id": 0, "near_dedup": 3}.get(name, 4), name
