@@ -1,17 +1,20 @@
-"""Near-duplicate embeddings by exact comparison in overlapping cluster shards.
+"""Near-duplicate embeddings by a robust-pruned flat graph over overlapping cluster shards.
 
 1. Equal vectors become one class with a count.  Centroids are fitted on a bounded sample; every
    class goes to the shards of its ``probes`` nearest centroids, so shards overlap.  A cluster of more than
    ``BLOCK`` classes is dealt into blocks, and every pair of its blocks is a shard of its own, so no
    task holds more than 2 * BLOCK classes.
-2. Every shard compares all its classes with each other, exactly, in double precision: at most
-   (2 * BLOCK)**2 products a task.  A graph search in the shard is no cheaper, as building the graph takes the same
-   products, and it loses small groups beside a large one.
-3. A pair is counted in one shard only (the first cluster that both share), for both its ends; only counts
-   and local components leave a shard, never pairs.
-4. Recall is audited against brute force for ``AUDIT`` hash-chosen classes of each size of group, as the mean
-   per class, over all and per group size, so large groups do not outweigh small ones.  Below ``RECALL`` the
-   whole is done again with more probes; where those would be all cells, in one cell, which compares all pairs.
+2. Every shard builds a flat graph: each class's pool of near classes is robust-pruned.  The adjacency lists of a
+   class are united over all its shards.
+3. Every class of a shard searches the united graph there, from the shard's medoids and from itself, by greedy search that
+   goes on expanding all it finds in range.  Cosines are taken in double precision, and a link found from one end counts
+   for both.  A shard audits its recall against brute force for some of its classes; one that misses the bound is
+   compared exactly.
+4. A pair is counted in one shard only (the first cluster that both share); only counts and local components leave
+   a shard, never pairs.
+5. Recall over all shards is audited against brute force for ``AUDIT`` hash-chosen classes of each size of group, as the
+   mean per class, over all and per group size, so large groups do not outweigh small ones.  Below ``RECALL`` the
+   whole is done again with more probes; where those would be all cells, in one cell, whose blocks are compared exactly.
 """
 
 from __future__ import annotations
@@ -26,9 +29,11 @@ from pyspark.sql import functions as F
 
 from .common import materialize, prepare
 from .components import connected_components
+from .flat_graph import edges_both_ways, medoid, range_search, robust_pruned
 
-CELL = 1500  # classes a cluster, about
-BLOCK = 4000
+CELL = 700  # classes nearest to a centroid, about
+BLOCK = 2500
+SHARD_AUDIT = 32  # classes of a shard that are compared with all of it
 FIT = 20_000  # bounded sample that the centroids are fitted on
 MOST_CELLS = 2000
 AUDIT, SEEN, RECALL = 200, 20, 0.97
@@ -83,19 +88,56 @@ def _assigner(shared, probes: int):
     return run
 
 
-def links_among(x: np.ndarray, least: float):
-    """(first row, in range) for blocks of rows of x (unit vectors): all rows against all, exact."""
-    for i in range(0, len(x), 256):
-        near = x[i:i + 256] @ x.T >= least
-        near[np.arange(len(near)), np.arange(i, i + len(near))] = False
-        yield i, near
+def _grapher(least: float):
+    def run(table: pa.Table) -> pa.Table:
+        ids = table["rep"].to_numpy()
+        near = edges_both_ways(robust_pruned(matrix(table["v"]), least))
+        return pa.table({"rep": table["rep"], "near": pa.array([ids[p] for p in near], pa.list_(pa.int64()))})
+    return run
 
 
-def _comparer(least: float):
+def _local_graph(ids: np.ndarray, lists: list[list[int]]) -> np.ndarray:
+    """United adjacency lists as rows of this shard, padded by -1; neighbours that are not here are left out."""
+    sizes = np.array([len(p) for p in lists])
+    flat = np.array([i for p in lists for i in p], np.int64)
+    order = np.argsort(ids)
+    at = order[np.minimum(np.searchsorted(ids, flat, sorter=order), len(ids) - 1)]
+    here = ids[at] == flat
+    owner, place = np.repeat(np.arange(len(ids)), sizes), np.concatenate([np.arange(k) for k in sizes] or [np.zeros(0, int)])
+    graph = np.full((len(ids), max(1, int(sizes.max(initial=1)))), -1)
+    graph[owner[here], place[here]] = at[here]
+    return graph
+
+
+def linked_rows(x: np.ndarray, graph: np.ndarray, starts: list[int], least: float, exact: bool = False) -> np.ndarray:
+    """(row, row): the links that the search finds from either end; all of them where it misses the bound, or if ``exact``."""
+    n = len(x)
+    near = np.zeros((n, n), bool)
+    if not exact:
+        for i, scores in range_search(x, graph, starts, least):
+            near[i:i + len(scores)] = scores >= least
+        near |= near.T
+        some = np.random.default_rng(n).choice(n, min(n, SHARD_AUDIT), replace=False)
+        true = x[some] @ x.T >= least
+        true[np.arange(len(some)), some] = False
+        want, have = true.sum(axis=1), (true & near[some]).sum(axis=1)
+        share = have[want > 0] / want[want > 0]
+        size = np.floor(np.log2(want[want > 0]))  # small groups have a mean of their own
+        exact = any(share[size == k].mean() < RECALL for k in np.unique(size))
+    if exact:
+        for i in range(0, n, 256):
+            near[i:i + 256] = x[i:i + 256] @ x.T >= least
+    near[np.arange(n), np.arange(n)] = False
+    return near
+
+
+def _searcher(least: float, exact: bool):
     def run(table: pa.Table) -> pa.Table:
         ids, mult, block = (table[c].to_numpy() for c in ("rep", "mult", "block"))
         cell, a, b = (table[c][0].as_py() for c in ("cell", "a", "b"))
         x = matrix(table["v"])
+        graph = _local_graph(ids, table["near"].to_pylist())
+        near = linked_rows(x, graph, [medoid(x, np.flatnonzero(block == k)) for k in np.unique(block)], least, exact)
         # class x earlier cell: a pair that shares one is counted there
         row, earlier = zip(*[(i, c) for i, cs in enumerate(table["cells"].to_pylist()) for c in cs if c < cell] or [(0, -1)])
         names, column = np.unique(earlier, return_inverse=True)
@@ -109,17 +151,18 @@ def _comparer(least: float):
                 i = root[i]
             return i
 
-        for i, near in links_among(x, least):
-            for me, hits in enumerate(near, i):
+        for i in range(0, len(ids), 256):
+            part = near[i:i + 256]
+            for me, hits in enumerate(part, i):
                 for j in np.unique(root[np.flatnonzero(hits)]).tolist():
                     u, v = find(me), find(j)
                     if u != v:
                         low, high = (u, v) if ids[u] < ids[v] else (v, u)
                         root[high] = low
-            near &= before[i:i + len(near)] @ before.T == 0
+            part = part & (before[i:i + len(part)] @ before.T == 0)
             if a != b:
-                near &= block[i:i + len(near), None] != block
-            links[i:i + len(near)] = near @ mult
+                part &= block[i:i + len(part), None] != block
+            links[i:i + len(part)] = part @ mult
         comp = np.array([ids[find(i)] for i in range(len(ids))], np.int64)
         return pa.table({"rep": table["rep"], "links": pa.array(links), "comp": pa.array(comp)})
     return run
@@ -177,19 +220,19 @@ def _classes_linked(classes: DataFrame, least: float, probes: int) -> DataFrame:
     for d, k in classes.groupBy(F.size("v").alias("d")).count().collect():  # a length that the sample missed
         centers.setdefault(d, np.eye(1, d))
     cells = max(map(len, centers.values()), default=0)
+    exact = False
     while True:
         placed = materialize(classes.mapInArrow(_assigner(spark.sparkContext.broadcast(centers), probes),
                                                 "rep long, mult long, v array<double>, dim int, cells array<int>"), "placed")
-        found = materialize(_search_shards(placed, least), "found")
-        # one cell a dimension, or every class in all cells: every pair was compared
-        if probes >= cells or _recall(placed, found, least) >= RECALL:
+        found = materialize(_search_shards(placed, least, exact), "found")
+        if exact or _recall(placed, found, least) >= RECALL:
             return found
         probes *= 2
         if probes >= cells:
-            centers = {d: c[:1] for d, c in centers.items()}
+            centers, exact = {d: c[:1] for d, c in centers.items()}, True
 
 
-def _search_shards(placed: DataFrame, least: float) -> DataFrame:
+def _search_shards(placed: DataFrame, least: float, exact: bool) -> DataFrame:
     """(rep, links, component) from the shards of ``placed``."""
     spread = placed.select("dim", F.explode("cells").alias("cell"), "rep", "mult", "v", "cells")
     sizes = placed.select("dim", F.explode("cells").alias("cell")).groupBy("dim", "cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
@@ -198,7 +241,14 @@ def _search_shards(placed: DataFrame, least: float) -> DataFrame:
                         lambda o: F.struct(F.least(o, F.col("block")).alias("a"), F.greatest(o, F.col("block")).alias("b")))
     shards = spread.select("dim", "cell", "rep", "mult", "v", "cells", "block", F.explode(pairs).alias("s"))
     shards = materialize(shards.select("dim", "cell", "rep", "mult", "v", "cells", "block", "s.a", "s.b"), "shards")
-    hits = shards.groupBy("dim", "cell", "a", "b").applyInArrow(_comparer(least), "rep long, links long, comp long")
+    shard = ["dim", "cell", "a", "b"]
+    if exact:
+        ready = shards.withColumn("near", F.array().cast("array<long>"))
+    else:
+        lists = materialize(shards.groupBy(*shard).applyInArrow(_grapher(least), "rep long, near array<long>"), "lists")
+        graph = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        ready = shards.join(materialize(graph, "graph"), "rep")
+    hits = ready.groupBy(*shard).applyInArrow(_searcher(least, exact), "rep long, links long, comp long")
     hits = materialize(hits, "hits")
     comp = connected_components(hits, "rep", "comp").withColumnRenamed("node", "rep")
     return hits.groupBy("rep").agg(F.sum("links").alias("links")).join(comp, "rep", "left")

@@ -272,3 +272,48 @@ def test_joins_with_a_written_aggregate_split_a_hot_node(spark):
         assert "skew=true" in step._jdf.queryExecution().executedPlan().toString()
     whole = {r.node: r.component for r in connected_components(edges, "u", "v").collect()}
     assert sum(c == "hub" for c in whole.values()) == 36_001
+
+
+# ---------------------------------------------------------------------------- flat graph of op6
+@pytest.mark.parametrize("spread", [0.05, 0.25])
+def test_flat_graph_finds_small_groups_beside_a_hot_one(spread):
+    from shelfmark.llm import vectors as V
+    from shelfmark.llm.flat_graph import UNSEEN, edges_both_ways, medoid, range_search, robust_pruned
+    sizes = [900] + [2] * 60 + [10] * 20 + [60] * 4
+    x = V.unit(np.concatenate([np.repeat(rnd.normal(size=(len(sizes), 64)), sizes, axis=0) + spread * rnd.normal(size=(sum(sizes), 64)), rnd.normal(size=(800, 64))]))
+    n = len(x)
+    picked = robust_pruned(x, 0.9)
+    assert (picked != np.arange(n)[:, None]).all()
+    graph = V._local_graph(np.arange(n), [p.tolist() for p in edges_both_ways(picked)])
+    near, seen = np.zeros((n, n), bool), 0
+    for i, scores in range_search(x, graph, [medoid(x, np.arange(n))], 0.9):
+        near[i:i + len(scores)] = scores >= 0.9
+        seen += int((scores > UNSEEN).sum())
+    true = x @ x.T >= 0.9
+    near |= near.T
+    assert not (near & ~true).any() and seen < 0.6 * n * n
+    owner = np.repeat(np.arange(len(sizes) + 800), sizes + [1] * 800)
+    for size in (900, 2, 10, 60):
+        rows = np.isin(owner, np.flatnonzero(np.array(sizes) == size))
+        assert (near[rows].sum(axis=1) / true[rows].sum(axis=1)).mean() >= 0.97, size
+
+
+def test_a_shard_that_misses_the_bound_is_compared_exactly():
+    from shelfmark.llm import vectors as V
+    x = V.unit(groups(300, 16, 8, 0.02))
+    nothing = np.full((300, 1), -1)  # a graph without edges finds itself only
+    true = x @ x.T >= 0.9
+    np.fill_diagonal(true, False)
+    assert (V.linked_rows(x, nothing, [0], 0.9) == true).all()
+
+
+def test_flat_graph_of_tiny_and_equal_shards():
+    from shelfmark.llm import vectors as V
+    from shelfmark.llm.flat_graph import edges_both_ways, robust_pruned
+    for x in (np.ones((1, 4)), np.ones((3, 4)), np.array([[1.0, 0], [0, 1.0]])):
+        x = V.unit(x)
+        graph = V._local_graph(np.arange(len(x)), [p.tolist() for p in edges_both_ways(robust_pruned(x, 0.9))])
+        near = V.linked_rows(x, graph, [0], 0.9)
+        true = x @ x.T >= 0.9
+        np.fill_diagonal(true, False)
+        assert (near == true).all()
