@@ -1,10 +1,15 @@
 """Removal of multi-line chunks that repeat anywhere in the corpus.
 
-Lines are hashed; a rolling hash over the hashes of two neighbouring lines ends a chunk where
-it is 0 modulo ``DIVISOR``.  A boundary thus depends on two lines only, so an insertion moves no
-boundary further down.  Chunks of two lines or more are counted by a 128-bit hash of their bytes;
-of those that repeat, the first occurrence (smallest doc_id, then position) stays and the others go
-if their bytes equal the first one's.
+1. A rolling hash (128 bits, of the hashes of ``SEED`` neighbouring lines; blank lines are passed over) is taken at every
+   line.  It depends on its own lines only, so an insertion shifts no hash behind it.
+2. Rolling hashes that occur more than once, and each one's first occurrence (smallest doc_id, then text and position),
+   come from one aggregation.
+3. A chunk is a longest run of lines whose rolling hashes all repeat and follow a run of first occurrences; its boundaries
+   are where that ends.  So every repeated run of ``SEED`` lines or more is a chunk or part of one, wherever it lies.
+4. The bytes of the chunks' first occurrences are cut from their documents and sent to the chunks; a chunk whose own bytes
+   are the same is removed, with the blank lines inside it.  The first occurrence stays.
+
+Only first occurrences' documents and the final rewriting read texts again.
 """
 
 from __future__ import annotations
@@ -12,59 +17,84 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialize, prepare, unused
 
-DIVISOR = 4
-MIN_LINES = 2
+SEED = 2
+BASE = 0x9E3779B97F4A7C15F39CC0605CEDC835  # odd
+MASK = (1 << 128) - 1
+BLANK = b" \t\n\v\f\r"
 
 
-def line_hash(line: bytes) -> int:
-    return int(hashlib.md5(line).hexdigest()[:8], 16)
+def solid_lines(lines: list[bytes]) -> list[int]:
+    """Places of the lines that are not blank."""
+    return [i for i, line in enumerate(lines) if line.strip(BLANK)]
 
 
-def chunks(text: bytes) -> list[tuple[int, int]]:
-    """Content-defined chunks of a text's lines, as (first line, line after the last)."""
-    out, first, before = [], 0, 0
-    lines = text.split(b"\n")
-    for i, line in enumerate(lines):
-        here = line_hash(line)
-        if (before * 31 + here) % DIVISOR == 0 or i == len(lines) - 1:
-            out.append((first, i + 1))
-            first = i + 1
-        before = here
+def rolling(lines: list[bytes]) -> list[int]:
+    """The rolling hash of every ``SEED`` neighbouring lines."""
+    hashes = [int.from_bytes(hashlib.md5(line).digest(), "big") for line in lines]
+    out, value, lead = [], 0, pow(BASE, SEED, MASK + 1)
+    for i, h in enumerate(hashes):
+        value = (value * BASE + h) & MASK
+        if i >= SEED:
+            value = (value - hashes[i - SEED] * lead) & MASK
+        if i >= SEED - 1:
+            out.append(value)
     return out
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
 def _scan(batches):
     for batch in batches:
-        rows = []
+        docs, keys, at, high, low = [], [], [], [], []
         for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("tkey").to_pylist(), batch.column("text")):
-            if text.is_valid:
-                data = text.as_buffer().to_pybytes()
-                lines = data.split(b"\n")
-                for a, b in chunks(data):
-                    if b - a >= MIN_LINES:
-                        rows.append((doc, key, a, b, hashlib.md5(b"\n".join(lines[a:b])).hexdigest()))
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                         ["doc_id", "tkey", "first", "after", "md5"])
-
-
-def _cut_out(batches):
-    """The bytes of the listed chunks."""
+            if not text.is_valid:
+                continue
+            lines = text.as_buffer().to_pybytes().split(b"\n")
+            values = rolling([lines[i] for i in solid_lines(lines)])
+            docs += [doc] * len(values)
+            keys += [key] * len(values)
+            at += range(len(values))
+            high += [_signed(v >> 64) for v in values]
+            low += [_signed(v & (1 << 64) - 1) for v in values]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs, keys, at, high, low), kinds)], ["doc_id", "tkey", "at", "h1", "h2"])
+
+
+def _bodies(batches):
+    """The bytes of the listed runs of lines that are not blank."""
     for batch in batches:
         rows = []
         for doc, key, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("tkey").to_pylist(),
                                           batch.column("text"), batch.column("wanted").to_pylist()):
             lines = text.as_buffer().to_pybytes().split(b"\n")
-            rows += [(doc, key, w["first"], w["after"], w["md5"], w["head"], b"\n".join(lines[w["first"]:w["after"]])) for w in wanted]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.binary()]
+            solid = [lines[i] for i in solid_lines(lines)]
+            rows += [(doc, key, w["at"], w["n"], b"\n".join(solid[w["at"]:w["at"] + w["n"]])) for w in wanted]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                         ["doc_id", "tkey", "first", "after", "md5", "head", "bytes"])
+                                         ["head_doc", "head_key", "head_at", "n", "body"])
+
+
+def without_chunks(text: str, chunks: list[dict]) -> tuple[str, int]:
+    """``text`` without the chunks (at, n, shared, body) whose lines are the body, and the number of lines removed.
+
+    ``shared``: the chunk overlaps its own first occurrence by all but its last lines; the first line and blank ones stay.
+    """
+    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+    solid = solid_lines(lines)
+    gone: set[int] = set()
+    for c in chunks:
+        mine = solid[c["at"]:c["at"] + c["n"]]
+        if b"\n".join([lines[i] for i in mine]) == c["body"]:
+            gone.update(mine[1:] if c["shared"] else range(mine[0], mine[-1] + 1))
+    return b"\n".join([x for i, x in enumerate(lines) if i not in gone]).decode("utf-8", "surrogatepass"), len(gone)
 
 
 def _rebuild(column: str, cuts_column: str, removed_column: str):
@@ -72,14 +102,9 @@ def _rebuild(column: str, cuts_column: str, removed_column: str):
         for batch in batches:
             texts, removed = [], []
             for text, cuts in zip(batch.column(column), batch.column(cuts_column).to_pylist()):
-                if not cuts:
-                    texts.append(text.as_py())
-                    removed.append(0)
-                    continue
-                lines = text.as_py().split("\n")
-                gone = {i for c in cuts for i in range(c["first"], c["after"])}
-                texts.append("\n".join([x for i, x in enumerate(lines) if i not in gone]))
-                removed.append(len(gone))
+                text, count = without_chunks(text.as_py(), cuts) if cuts else (text.as_py(), 0)
+                texts.append(text)
+                removed.append(count)
             out = batch.drop_columns([cuts_column])
             out = out.set_column(out.schema.get_field_index(column), column, pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(removed, pa.int32())], [*out.schema.names, removed_column])
@@ -91,27 +116,38 @@ def line_dedup(docs: DataFrame, removed: str = "lines_removed") -> DataFrame:
 
     Every row gives one row.  A null text stays null; an empty one stays empty.  A row with a
     null doc_id stays as it is and counts for nothing.  Rows that repeat both doc_id and text
-    are one document.  A column called ``removed`` is replaced; other columns pass through, whatever their names.
+    are one document.  Lines end at line feeds; blank lines are compared with nothing.  A column called
+    ``removed`` is replaced; other columns pass through, whatever their names.
     """
     prepare(docs.sparkSession)
     docs = docs.drop(removed)
     doc, key, cuts = (unused(docs.columns, c) for c in ("cut_doc", "cut_key", "cuts"))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), F.col("text").cast("string").alias("text"))
     slim = slim.where("doc_id IS NOT NULL")
-    found = materialize(slim.mapInArrow(_scan, "doc_id long, tkey long, first int, after int, md5 string"), "chunks").distinct()
-    heads = (found.groupBy("md5").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tkey", "first")).alias("at"))
-             .where("n > 1").drop("n"))
-    wanted = (found.join(materialize(heads, "heads"), "md5")
-              .groupBy("doc_id", "tkey")
-              .agg(F.collect_list(F.struct("first", "after", "md5", (F.struct("doc_id", "tkey", "first") == F.col("at")).alias("head"))).alias("wanted")))
-    cut = (slim.join(wanted, ["doc_id", "tkey"]).dropDuplicates(["doc_id", "tkey"]).select("doc_id", "tkey", "text", "wanted")
-           .mapInArrow(_cut_out, "doc_id long, tkey long, first int, after int, md5 string, head boolean, bytes binary"))
-    cut = materialize(cut, "repeated")
-    kept = cut.where("head").select("md5", F.col("bytes").alias("kept"))
-    gone = (cut.where("NOT head").join(kept, "md5").where("bytes = kept")
-            .groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("first", "after")).alias(cuts))
-            .select(F.col("doc_id").alias(doc), F.col("tkey").alias(key), cuts))
+    seeds = materialize(slim.mapInArrow(_scan, "doc_id long, tkey long, at int, h1 long, h2 long"), "seeds").distinct()
+    heads = (seeds.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "tkey", "at")).alias("head"))
+             .where("times > 1").select("h1", "h2", F.col("head.doc_id").alias("head_doc"), F.col("head.tkey").alias("head_key"), F.col("head.at").alias("head_at")))
+    again = (seeds.join(materialize(heads, "heads"), ["h1", "h2"])
+             .where("NOT (doc_id = head_doc AND tkey = head_key AND at = head_at)").drop("h1", "h2"))
+    # chunks: neighbouring seeds whose first occurrences are neighbours too
+    line = ["doc_id", "tkey", "head_doc", "head_key", "shift"]
+    again = again.withColumn("shift", F.col("at") - F.col("head_at"))
+    again = again.withColumn("island", F.col("at") - F.row_number().over(Window.partitionBy(*line).orderBy("at")))
+    chunks = (again.groupBy(*line, "island").agg(F.min("at").alias("at"), F.min("head_at").alias("head_at"), (F.count("*") + SEED - 1).cast("int").alias("n"))
+              .drop("island"))
+    chunks = materialize(chunks, "chunks")
+
+    wanted = (chunks.select("head_doc", "head_key", F.struct(F.col("head_at").alias("at"), "n").alias("run")).distinct()
+              .groupBy(F.col("head_doc").alias("doc_id"), F.col("head_key").alias("tkey")).agg(F.collect_list("run").alias("wanted")))
+    # the head texts only; merged, so that the plan and its disk use do not change where the list outgrows a broadcast
+    sources = slim.join(materialize(wanted, "wanted").hint("merge"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "wanted")
+    bodies = sources.mapInArrow(_bodies, "head_doc long, head_key long, head_at int, n int, body binary")
+    bodies = materialize(bodies.dropDuplicates(["head_doc", "head_key", "head_at", "n"]), "bodies")
+    own = (F.col("doc_id") == F.col("head_doc")) & (F.col("tkey") == F.col("head_key"))
+    found = (chunks.join(bodies, ["head_doc", "head_key", "head_at", "n"])
+             .groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("at", "n", (own & (F.col("shift") < SEED)).alias("shared"), "body")).alias(cuts))
+             .select(F.col("doc_id").alias(doc), F.col("tkey").alias(key), cuts))
     same = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64("text") == F.col(key))
-    rows = docs.join(gone, same, "left").drop(doc, key)
+    rows = docs.join(materialize(found, "found").hint("merge"), same, "left").drop(doc, key)
     fields = [T.StructField("text", T.StringType()) if f.name == "text" else f for f in docs.schema.fields]
     return rows.mapInArrow(_rebuild("text", cuts, removed), T.StructType(fields + [T.StructField(removed, T.IntegerType())]))

@@ -29,16 +29,16 @@ c{n + 1} AS (SELECT c{n}.i, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{
 
 
 ORACLE = {
-    "op2_line_dedup": """
-WITH l AS (SELECT doc_id, i, ls[i] AS line, i = len(ls) AS last, ('0x' || substr(md5(ls[i]), 1, 8))::BIGINT AS h
-           FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS t(i)),
-b AS (SELECT *, (lag(h, 1, 0) OVER (PARTITION BY doc_id ORDER BY i) * 31 + h) % 4 = 0 OR last AS ends FROM l),
-c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM b),
-k AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n FROM c GROUP BY ALL),
-r AS (SELECT *, n >= 2 AND row_number() OVER (PARTITION BY body, n >= 2 ORDER BY doc_id, chunk) > 1 AS gone FROM k)
+    "op2_line_dedup": r"""
+WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS t(i)),
+k AS (SELECT doc_id, line, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+w AS (SELECT a.doc_id, a.k, a.i AS i0, b.i AS i1, a.line || chr(10) || b.line AS body FROM k a JOIN k b ON b.doc_id = a.doc_id AND b.k = a.k + 1),
+h AS (SELECT *, first_value(doc_id) OVER f AS head_doc, first_value(k) OVER f AS head_k, row_number() OVER f AS n
+      FROM w WINDOW f AS (PARTITION BY body ORDER BY doc_id, k)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = head_doc AND k - head_k = 1 THEN i1 ELSE i0 END, i1 + 1)) AS i FROM h WHERE n > 1)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(x.body, '') END AS text, coalesce(x.removed, 0)::INT AS lines_removed
-FROM documents d LEFT JOIN (SELECT doc_id, string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone) AS body,
-                                   sum(n) FILTER (gone) AS removed FROM r GROUP BY doc_id) x USING (doc_id)""",
+FROM documents d LEFT JOIN (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL) AS body, count(g.i) AS removed
+                            FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id) x USING (doc_id)""",
     "op3_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
 q AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last,

@@ -14,7 +14,7 @@ from shelfmark.llm import langid, vectors
 from shelfmark.llm.components import connected_components
 from shelfmark.llm.decontaminate import contaminated
 from shelfmark.llm.license_scan import NOTICES, license_scan
-from shelfmark.llm.line_dedup import chunks, line_dedup
+from shelfmark.llm.line_dedup import line_dedup, rolling
 from shelfmark.llm.near_dup import minhash_near_duplicates
 from shelfmark.llm.pieces import encode_decode
 from shelfmark.llm.pii import replace_pii, surrogate_table
@@ -127,37 +127,63 @@ def test_substring_dedup_equals_brute_force(docs, empty):
     assert substring_dedup(empty).count() == 0
 
 
+def without_repeated_lines(rows):
+    """Brute force: (text, lines removed) by id; of every pair of neighbouring lines that are not blank only the first stays."""
+    first, cut = {}, {}
+    for i, t in sorted({r for r in rows if r[0] is not None and r[1] is not None}):
+        lines = t.split("\n")
+        solid = [n for n, x in enumerate(lines) if x.strip(" \t\v\f\r")]
+        gone = set()
+        for p, (a, b) in enumerate(zip(solid, solid[1:])):
+            head = first.setdefault((lines[a], lines[b]), (i, t, p))
+            if head != (i, t, p):
+                gone |= {b} if head == (i, t, p - 1) else set(range(a, b + 1))
+        cut[i, t] = "\n".join([x for n, x in enumerate(lines) if n not in gone]), len(gone)
+    return cut
+
+
 def test_line_dedup(spark, empty):
     lines = [" ".join(prose(5)) for _ in range(40)]
     rows = [(i, "\n".join(lines[:20] + [" ".join(prose(4))] * (i % 2) + lines[20 + i:])) for i in range(6)]
     rows += [(9, None), (10, ""), (11, "\n\n\n\n"), (12, "\n\n\n\n"), (None, rows[0][1]), (2, rows[2][1])]
-    docs = spark.createDataFrame([(a, b, 5) for a, b in rows], "doc_id long, text string, lines_removed int")
-    got = {r.doc_id: r for r in line_dedup(docs).collect() if r.doc_id is not None}
-    seen = set()
-    for i, t in sorted({r for r in rows if r[0] is not None}):
-        if t is None:
-            assert got[i].text is None
-            continue
-        raw, keep, gone = t.encode().split(b"\n"), [], 0
-        for a, b in chunks(t.encode()):
-            body = b"\n".join(raw[a:b])
-            if b - a >= 2 and body in seen:
-                gone += b - a
-            else:
-                keep += raw[a:b]
-            if b - a >= 2:
-                seen.add(body)
-        assert got[i].text == b"\n".join(keep).decode() and got[i].lines_removed == gone
-    assert sum(r.lines_removed for r in got.values()) > 40
-    assert line_dedup(docs).count() == len(rows) and line_dedup(empty).count() == 0
-
-
-def test_insertion_moves_no_later_boundary():
+    rows += [(20, "x\nx\nx\nx"), (21, "a\nb\na\nb\na\nb"), (22, "p\n\nq\n \nr"), (23, "new\np\nq\nr\nend"), (24, "q\n\n\nr"), (25, "x\n\nx\nx"),
+             (26, "lone"), (27, "lone"), (28, "p\nq\n" * 500), (29, "A\nB\nC"), (30, "B\nC\nD"), (31, "C\nD\nA\nB"), (32, "ü\r\nß\r\nü\r\nß"), (2, "other\ntext")]
+    r = random.Random(8)
+    rows += [(100 + i, "\n".join(r.choice(["s", "t", "u", "", " v"]) for _ in range(r.randrange(12)))) for i in range(60)]
+    docs = spark.createDataFrame([(a, b, 5) for a, b in rows], "doc_id long, text string, lines_removed int").repartition(3)
+    want = without_repeated_lines(rows)
+    got = line_dedup(docs).collect()
+    assert len(got) == len(rows) and line_dedup(empty).count() == 0
+    texts = sorted((str(r.doc_id), str(r.text), r.lines_removed) for r in got)
+    assert texts == sorted((str(i), *map(lambda x: x if isinstance(x, int) else str(x), want.get((i, t), (t, 0)))) if i is not None else (str(i), str(t), 0) for i, t in rows)
+    assert sum(r.lines_removed for r in got) > 40
+
+
+def test_repeated_runs_lose_all_their_lines(spark):
+    """Every repeated run of two lines or more goes, whatever stands around it; single repeated lines stay."""
+    r = random.Random(2)
+    runs = [[f"run {k} line {j} {r.random()}" for j in range(n)] for k, n in enumerate([2] * 30 + [3, 5, 9, 40])]
+    rows = [(0, "\n".join(x for run in runs for x in [*run, f"apart {r.random()}"]))]
+    for i in range(1, 60):
+        own = [f"own {i} {j} {r.random()}" for j in range(6)]
+        rows.append((i, "\n".join([*own[:3], *runs[i % len(runs)], *own[3:5], runs[(i + 7) % len(runs)][0], own[5]])))
+    got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].lines_removed == 0
+    assert all(got[i].lines_removed == len(runs[i % len(runs)]) for i in range(1, 60))
+
+
+def test_line_dedup_of_a_very_long_text_and_line(spark):
+    long = "\n".join(f"line {i}" for i in range(150_000))
+    rows = [(1, long), (2, "first\n" + long), (3, "y" * 2_000_000 + "\nsame\nsame too"), (4, "z" * 2_000_000 + "\nsame\nsame too")]
+    got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].lines_removed, got[2].lines_removed, got[2].text) == (0, 150_000, "first")
+    assert (got[3].lines_removed, got[4].lines_removed) == (0, 2)
+
+
+def test_insertion_shifts_no_later_hash():
     body = [f"line {i}".encode() for i in range(200)]
-    a = {(tuple(body[x:y])) for x, y in chunks(b"\n".join(body))}
-    moved = [b"new", *body]
-    b = {(tuple(moved[x:y])) for x, y in chunks(b"\n".join(moved))}
-    assert len(a - b) <= 2
+    assert set(rolling(body)) - set(rolling([b"new", *body])) == set()
+    assert len(set(rolling(body)) - set(rolling(body[:90] + [b"new"] + body[90:]))) == 1
 
 
 def test_contaminated_equals_brute_force(spark, docs, empty):

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import sentencepiece
 
 import corpus_pipeline
-from shelfmark.llm.line_dedup import chunks
+from test_operators import without_repeated_lines
 
 DIR = "/root/testdata/sf0.001"
 
@@ -22,20 +22,7 @@ def test_stage_names_and_run(spark):
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, DIR).collect()}
     docs = {r["doc_id"]: r["text"] for r in pq.read_table(f"{DIR}/documents.parquet").to_pylist()}
     texts = {i: t for i, t in docs.items() if t and any(c.isalpha() for c in t)}
-    seen, cut = set(), {}
-    for i in sorted(texts):
-        raw, keep, gone = texts[i].encode().split(b"\n"), [], False
-        for a, b in chunks(texts[i].encode()):
-            body = b"\n".join(raw[a:b])
-            if b - a >= 2 and body in seen:
-                gone = True
-            else:
-                keep += raw[a:b]
-            if b - a >= 2:
-                seen.add(body)
-        text = b"\n".join(keep).decode()
-        if not gone or text.strip():
-            cut[i] = text
+    cut = {i: text for (i, _), (text, gone) in without_repeated_lines(texts.items()).items() if not gone or text.strip()}
     sets = {i: shingles(t) for i, t in cut.items()}
     root = {i: i for i in sets}
 
