@@ -253,9 +253,9 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
             .select("raw", "kind", F.concat("prefix", F.array_join(F.col("parts.s"), " ")).alias("surrogate")))
     lists = (spans.join(materialize(made, "mentions"), "raw").groupBy("digest")
              .agg(F.array_sort(F.collect_list(F.struct("at", "surrogate", "kind"))).alias(own)))
-    # written, so that AQE can split the copies of one text
+    # written, so that AQE can split the copies of one text; merged, as it grows with the texts
     lists = materialize(lists.withColumnRenamed("digest", digest), "lists")
-    rows = docs.join(lists, F.md5("text") == F.col(digest), "left")
+    rows = docs.join(lists.hint("merge"), F.md5("text") == F.col(digest), "left")
     gaps = F.split("text", PATTERN, -1)
     rebuilt = F.array_join(F.zip_with(gaps, f"{own}.surrogate", lambda gap, s: F.concat(gap, F.coalesce(s, F.lit("")))), "")
     return rows.select(*[F.when(F.col(own).isNull(), F.col("text")).otherwise(rebuilt).alias("text") if c == "text" else F.col(f"`{c}`")
