@@ -16,16 +16,18 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialize, prepare, unused
+from .kernels import U, codes, mix
 
 SEED = 2
-BASE = 0x9E3779B97F4A7C15F39CC0605CEDC835  # odd
-MASK = (1 << 128) - 1
+BASES = codes(2, 31) | U(1)
+MOST_ROWS, MOST_BYTES = 1 << 16, 8 << 20  # of a batch that a task puts out
 BLANK = b" \t\n\v\f\r"
 
 
@@ -34,52 +36,61 @@ def solid_lines(lines: list[bytes]) -> list[int]:
     return [i for i, line in enumerate(lines) if line.strip(BLANK)]
 
 
-def rolling(lines: list[bytes]) -> list[int]:
-    """The rolling hash of every ``SEED`` neighbouring lines."""
-    hashes = [int.from_bytes(hashlib.md5(line).digest(), "big") for line in lines]
-    out, value, lead = [], 0, pow(BASE, SEED, MASK + 1)
-    for i, h in enumerate(hashes):
-        value = (value * BASE + h) & MASK
-        if i >= SEED:
-            value = (value - hashes[i - SEED] * lead) & MASK
-        if i >= SEED - 1:
-            out.append(value)
-    return out
+def rolling(lines: list[bytes]) -> np.ndarray:
+    """The rolling hash of every ``SEED`` neighbouring lines, as two 64-bit numbers each."""
+    digests = np.frombuffer(b"".join([hashlib.md5(line).digest() for line in lines]), U).reshape(-1, 2)
+    count = max(0, len(lines) - SEED + 1)
+    out = np.zeros((count, 2), U)
+    for i in range(SEED):
+        out = out * BASES + digests[i:i + count]
+    return mix(out)
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+def _scan(batches):
+    names, kinds = ["doc_id", "tkey", "at", "h1", "h2"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
+    def table(parts):
+        whole = [np.concatenate([p[i] for p in parts]) for i in range(5)]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(whole, kinds)], names)
 
-def _scan(batches):
     for batch in batches:
-        docs, keys, at, high, low = [], [], [], [], []
+        parts, size = [], 0
         for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("tkey").to_pylist(), batch.column("text")):
             if not text.is_valid:
                 continue
             lines = text.as_buffer().to_pybytes().split(b"\n")
-            values = rolling([lines[i] for i in solid_lines(lines)])
-            docs += [doc] * len(values)
-            keys += [key] * len(values)
-            at += range(len(values))
-            high += [_signed(v >> 64) for v in values]
-            low += [_signed(v & (1 << 64) - 1) for v in values]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs, keys, at, high, low), kinds)], ["doc_id", "tkey", "at", "h1", "h2"])
+            values = rolling([lines[i] for i in solid_lines(lines)]).view(np.int64)
+            n = len(values)
+            parts.append((np.full(n, doc, np.int64), np.full(n, key, np.int64), np.arange(n, dtype=np.int32), values[:, 0], values[:, 1]))
+            size += n
+            if size >= MOST_ROWS:
+                yield table(parts)
+                parts, size = [], 0
+        if parts:
+            yield table(parts)
 
 
 def _bodies(batches):
     """The bytes of the listed runs of lines that are not blank."""
+    names = ["head_doc", "head_key", "head_at", "n", "body"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+    def table(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
     for batch in batches:
-        rows = []
-        for doc, key, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("tkey").to_pylist(),
-                                          batch.column("text"), batch.column("wanted").to_pylist()):
+        rows, size = [], 0
+        for doc, key, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("tkey").to_pylist(), batch.column("text"), batch.column("wanted")):
             lines = text.as_buffer().to_pybytes().split(b"\n")
             solid = [lines[i] for i in solid_lines(lines)]
-            rows += [(doc, key, w["at"], w["n"], b"\n".join(solid[w["at"]:w["at"] + w["n"]])) for w in wanted]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                         ["head_doc", "head_key", "head_at", "n", "body"])
+            for w in wanted.as_py():
+                rows.append((doc, key, w["at"], w["n"], b"\n".join(solid[w["at"]:w["at"] + w["n"]])))
+                size += len(rows[-1][4])
+                if size >= MOST_BYTES:
+                    yield table(rows)
+                    rows, size = [], 0
+        if rows:
+            yield table(rows)
 
 
 def without_chunks(text: str, chunks: list[dict]) -> tuple[str, int]:
@@ -101,8 +112,8 @@ def _rebuild(column: str, cuts_column: str, removed_column: str):
     def run(batches):
         for batch in batches:
             texts, removed = [], []
-            for text, cuts in zip(batch.column(column), batch.column(cuts_column).to_pylist()):
-                text, count = without_chunks(text.as_py(), cuts) if cuts else (text.as_py(), 0)
+            for text, cuts in zip(batch.column(column), batch.column(cuts_column)):
+                text, count = without_chunks(text.as_py(), cuts.as_py()) if cuts.is_valid else (text.as_py(), 0)
                 texts.append(text)
                 removed.append(count)
             out = batch.drop_columns([cuts_column])

@@ -182,8 +182,13 @@ def test_line_dedup_of_a_very_long_text_and_line(spark):
 
 def test_insertion_shifts_no_later_hash():
     body = [f"line {i}".encode() for i in range(200)]
-    assert set(rolling(body)) - set(rolling([b"new", *body])) == set()
-    assert len(set(rolling(body)) - set(rolling(body[:90] + [b"new"] + body[90:]))) == 1
+
+    def hashes(lines):
+        return set(map(tuple, rolling(lines).tolist()))
+
+    assert len(hashes(body)) == 199 and hashes(body) - hashes([b"new", *body]) == set()
+    assert len(hashes(body) - hashes(body[:90] + [b"new"] + body[90:])) == 1
+    assert hashes([]) == hashes([b"a"]) == set()
 
 
 def test_contaminated_equals_brute_force(spark, docs, empty):
