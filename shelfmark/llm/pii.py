@@ -5,8 +5,8 @@ words, or the whole of any other entity) in canonical form: an e-mail in lower c
 its digits.  Each distinct unit gets one surrogate of its type from a keyed digest, so equal
 entities in different formats get the same surrogate everywhere (coreference).  The table of
 units is then checked: where two units share a surrogate, or a surrogate is a real unit of the
-corpus, all but one draw again, until none collides (distinctness).  From the third draw on, names,
-e-mails, passwords and short phone numbers get longer with every draw, so few rounds suffice however many units
+corpus, all but one draw again, until none collides (distinctness).  An e-mail is two units, its domain and its mailbox
+there.  From the third draw on, names, mailboxes, domains, passwords and short phone numbers get longer with every draw, so few rounds suffice however many units
 there are.  Surrogates keep the format: punctuation, letter case, digit places, a card's first digit and check digit, an
 address's octets, a title and with it the gender, and the script of a name.
 
@@ -139,12 +139,17 @@ def _secret(canon: Column, seed: Column) -> Column:
     return F.concat(F.substring(canon, F.lit(1), cut), _hidden(body, seed), more, tail)
 
 
-def _email(canon: Column, seed: Column) -> Column:
-    domain = F.substring_index(canon, "@", -1)
-    last = F.substring_index(domain, ".", -1)
-    owner = F.concat_ws("|", F.col("key"), F.lit("domain"), domain)  # one domain, one surrogate
-    body = F.substring(domain, F.lit(1), F.length(domain) - F.length(last))
-    return F.concat(_masked(F.substring_index(canon, "@", 1), seed), _more(seed, list("abcdefghijklmnopqrstuvwxyz0123456789")), F.lit("@"), _masked(body, owner), last)
+def _mailbox(canon: Column, seed: Column) -> Column:
+    """A new mailbox at the real domain, so that addresses of one domain are kept apart; the domain is a unit of its own."""
+    more = _more(seed, list("abcdefghijklmnopqrstuvwxyz0123456789"))
+    return F.concat(_masked(F.substring_index(canon, "@", 1), seed), more, F.lit("@"), F.substring_index(canon, "@", -1))
+
+
+def _domain(canon: Column, seed: Column) -> Column:
+    """Every label but the last redrawn; from the third draw on the one before it gets longer."""
+    last = F.substring_index(canon, ".", -1)
+    body = F.substring(canon, F.lit(1), F.length(canon) - F.length(last) - 1)
+    return F.concat(_masked(body, seed), _more(seed, list("abcdefghijklmnopqrstuvwxyz0123456789")), F.lit("."), last)
 
 
 def _word(canon: Column, seed: Column, gender: str | None) -> Column:
@@ -162,7 +167,7 @@ def _surrogate(units: DataFrame) -> DataFrame:
     seed = F.concat_ws("|", "key", "unit", "canon", F.col("attempt").cast("string"))
     canon = F.col("canon")
     digits = _masked(canon, seed)
-    made = {"email": _email(canon, seed), "ip": _ip(canon, seed), "phone": _phone(canon, seed), "card": _card(canon, seed),
+    made = {"mailbox": _mailbox(canon, seed), "domain": _domain(canon, seed), "ip": _ip(canon, seed), "phone": _phone(canon, seed), "card": _card(canon, seed),
             "secret": _secret(canon, seed), "family": _word(canon, seed, None),
             "given_m": _word(canon, seed, "m"), "given_f": _word(canon, seed, "f"), "given_n": _word(canon, seed, "n")}
     out = None
@@ -174,18 +179,28 @@ def _surrogate(units: DataFrame) -> DataFrame:
 
 
 def surrogate_table(units: DataFrame, key: str) -> DataFrame:
-    """(unit, canon, surrogate) for the distinct (unit, canon): one to one, and none a canon of the corpus."""
+    """(unit, canon, surrogate) for the distinct (unit, canon): one to one, and none a canon of the corpus.
+
+    Units whose draw is free are settled; only the others draw again, against the settled ones too.
+    """
     base = units.distinct().select(F.lit(key).alias("key"), "unit", "canon", F.lit(0).alias("attempt"))
+    base = all_units = materialize(base, "unit_draws")
+    settled = None
     while True:
         now = materialize(_surrogate(base), "surrogates")
-        first = now.groupBy("unit", "surrogate").agg(F.min("canon").alias("holder"), F.count("*").alias("n"))
-        real = now.select("unit", F.col("canon").alias("surrogate"), F.lit(True).alias("real"))
-        checked = now.join(first, ["unit", "surrogate"]).join(real, ["unit", "surrogate"], "left")
-        again = F.col("real").isNotNull() | ((F.col("n") > 1) & (F.col("canon") != F.col("holder")))
+        first = materialize(now.groupBy("unit", "surrogate").agg(F.min("canon").alias("holder")), "holders")
+        taken = all_units.select("unit", F.col("canon").alias("surrogate"))
+        if settled is not None:
+            taken = taken.unionAll(settled.select("unit", "surrogate"))
+        taken = taken.join(first.select("unit", "surrogate"), ["unit", "surrogate"], "left_semi").distinct().withColumn("taken", F.lit(True))
+        checked = now.join(first, ["unit", "surrogate"]).join(taken, ["unit", "surrogate"], "left")
+        again = F.col("taken").isNotNull() | (F.col("canon") != F.col("holder"))
         checked = materialize(checked.select("key", "unit", "canon", "surrogate", "attempt", again.alias("again")), "checked")
-        if checked.where("again").isEmpty():
-            return checked.select("unit", "canon", "surrogate")
-        base = checked.select("key", "unit", "canon", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+        good = checked.where("NOT again").select("unit", "canon", "surrogate")
+        settled = good if settled is None else settled.unionAll(good)
+        base = checked.where("again").select("key", "unit", "canon", (F.col("attempt") + 1).alias("attempt"))
+        if base.isEmpty():
+            return settled
 
 
 def _units(mentions: DataFrame) -> DataFrame:
@@ -200,13 +215,16 @@ def _units(mentions: DataFrame) -> DataFrame:
     named = named.select("raw", "kind", "prefix", "place", F.when(F.col("place") == F.col("n") - 1, "family").otherwise(
         F.concat(F.lit("given_"), F.col("gender"))).alias("unit"), F.initcap("piece").alias("canon"), "piece")
     raw, digits = F.col("raw"), F.regexp_replace("raw", "[^0-9]", "")
-    canon = (F.when(F.col("kind") == "email", F.lower(raw))
-             .when(F.col("kind") == "phone", F.when(F.length(digits).eqNullSafe(F.lit(11)) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits))
+    canon = (F.when(F.col("kind") == "phone", F.when(F.length(digits).eqNullSafe(F.lit(11)) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits))
              .when(F.col("kind").isin("card", "ssn"), digits)
              .when(F.col("kind") == "iban", F.regexp_replace(raw, " ", "")).otherwise(raw))
-    plain = mentions.where("kind <> 'name'").select("raw", "kind", F.lit("").alias("prefix"), F.lit(0).alias("place"),
+    mail = mentions.where("kind = 'email'").select("raw", "kind", F.lit("").alias("prefix"), F.posexplode(F.array(
+        F.struct(F.lit("mailbox").alias("unit"), F.lower(raw).alias("canon"), F.substring_index(raw, "@", 1).alias("piece")),
+        F.struct(F.lit("domain").alias("unit"), F.lower(F.substring_index(raw, "@", -1)).alias("canon"), F.substring_index(raw, "@", -1).alias("piece")))
+    ).alias("place", "of")).select("raw", "kind", "prefix", "place", "of.unit", "of.canon", "of.piece")
+    plain = mentions.where("kind NOT IN ('name', 'email')").select("raw", "kind", F.lit("").alias("prefix"), F.lit(0).alias("place"),
                                                     F.col("kind").alias("unit"), canon.alias("canon"), raw.alias("piece"))
-    return named.unionAll(plain)
+    return named.unionAll(mail).unionAll(plain)
 
 
 def _formatted(piece: Column, surrogate: Column, unit: Column) -> Column:
@@ -214,6 +232,7 @@ def _formatted(piece: Column, surrogate: Column, unit: Column) -> Column:
 
     What a longer surrogate has beyond the mention's places comes before the first of them.
     """
+    surrogate = F.when(unit == "mailbox", F.substring_index(surrogate, "@", 1)).otherwise(surrogate)
     places = F.length(F.regexp_replace(piece, "[^0-9A-Za-z]", ""))
     surplus = F.when(F.length(surrogate) > places, F.substring(surrogate, F.lit(1), F.length(surrogate) - places)).otherwise("")
     filled = F.array_join(F.reverse(F.aggregate(
@@ -230,16 +249,29 @@ def _formatted(piece: Column, surrogate: Column, unit: Column) -> Column:
             .when(upper, F.upper(surrogate)).otherwise(surrogate))
 
 
+def _renamed(gap: Column, known: Column) -> Column:
+    """The words of ``gap`` that are a known name with a capital in front, replaced in their letter case; ``'s`` stays."""
+    def one(word: Column) -> Column:
+        stem = F.regexp_replace(word, "'s$", "")
+        hit = F.get(F.filter(known, lambda k: k["piece"] == F.lower(stem)), 0)["s"]
+        upper = (stem == F.upper(stem)) & (F.length(stem) > 1)
+        made = F.concat(F.when(upper, F.upper(hit)).otherwise(hit), F.substring(word, F.length(stem) + 1, F.length(word)))
+        return F.when(word.rlike(r"^\p{Lu}"), F.coalesce(made, word)).otherwise(word)
+    words = F.split(gap, r"(?<=[\p{L}'-])(?![\p{L}'-])|(?<![\p{L}'-])(?=[\p{L}'-])")
+    return F.array_join(F.transform(words, one), "")
+
+
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     """All columns of ``docs`` (text, ...), the text with surrogates, plus n_entities and entity_kinds.
 
     Every row gives one row.  A null text stays null, one without entities stays as it is, both
-    with n_entities 0.  Equal texts get equal results.  Columns named n_entities and
+    with n_entities 0.  Equal texts get equal results.  Names are found by a title; other mentions of such a name's words in the
+    same text are replaced alike and not counted.  Columns named n_entities and
     entity_kinds are replaced; others pass through, null ids too.
     """
     prepare(docs.sparkSession)
     docs = docs.drop("n_entities", "entity_kinds")
-    digest, own = unused(docs.columns, "digest"), unused(docs.columns, "made")
+    digest, own, names = (unused(docs.columns, c) for c in ("digest", "made", "names"))
     found = F.regexp_extract_all(F.col("text").cast("string"), F.lit(PATTERN), F.lit(0))
     spans = (docs.select(F.md5("text").alias("digest"), found.alias("found")).where("size(found) > 0")
              .select("digest", F.posexplode("found").alias("at", "raw")).distinct())
@@ -249,14 +281,19 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     table = surrogate_table(units.select("unit", "canon"), key)
     made = (units.join(table, ["unit", "canon"])
             .groupBy("raw", "kind", "prefix")  # at most three units a mention
-            .agg(F.array_sort(F.collect_list(F.struct("place", _formatted(F.col("piece"), F.col("surrogate"), F.col("unit")).alias("s")))).alias("parts"))
-            .select("raw", "kind", F.concat("prefix", F.array_join(F.col("parts.s"), " ")).alias("surrogate")))
+            .agg(F.array_sort(F.collect_list(F.struct("place", _formatted(F.col("piece"), F.col("surrogate"), F.col("unit")).alias("s"), "piece"))).alias("parts"))
+            .select("raw", "kind", F.when(F.col("kind") == "email", F.array_join("parts.s", "@")).otherwise(
+                F.concat("prefix", F.array_join("parts.s", " "))).alias("surrogate"),
+                    F.when(F.col("kind") == "name", F.transform("parts", lambda p: F.struct(F.lower(p["piece"]).alias("piece"), F.initcap(p["s"]).alias("s")))).alias("words")))
     lists = (spans.join(materialize(made, "mentions"), "raw").groupBy("digest")
-             .agg(F.array_sort(F.collect_list(F.struct("at", "surrogate", "kind"))).alias(own)))
+             .agg(F.array_sort(F.collect_list(F.struct("at", "surrogate", "kind"))).alias(own), F.flatten(F.collect_set("words")).alias(names)))
     # written, so that AQE can split the copies of one text; merged, as it grows with the texts
     lists = materialize(lists.withColumnRenamed("digest", digest), "lists")
     rows = docs.join(lists.hint("merge"), F.md5("text") == F.col(digest), "left")
+    # a name learned from a mention with a title goes wherever its words stand in the same text
+    known = F.array_sort(names)
     gaps = F.split("text", PATTERN, -1)
+    gaps = F.when(F.size(names) > 0, F.transform(gaps, lambda gap: _renamed(gap, known))).otherwise(gaps)
     rebuilt = F.array_join(F.zip_with(gaps, f"{own}.surrogate", lambda gap, s: F.concat(gap, F.coalesce(s, F.lit("")))), "")
     return rows.select(*[F.when(F.col(own).isNull(), F.col("text")).otherwise(rebuilt).alias("text") if c == "text" else F.col(f"`{c}`")
                          for c in docs.columns],

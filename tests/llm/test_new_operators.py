@@ -317,3 +317,33 @@ def test_flat_graph_of_tiny_and_equal_shards():
         true = x @ x.T >= 0.9
         np.fill_diagonal(true, False)
         assert (near == true).all()
+
+
+# ---------------------------------------------------------------------------- surrogates of op4
+def test_domains_stay_distinct_and_unreal(spark):
+    from shelfmark.llm.pii import replace_pii
+    domains = [f"{a}{b}.com" for a in "abcdefghij" for b in "klmnopqrst"] + ["t.co", "u.co", "mail.t.co"]
+    rows = [(i, f"mail x@{d} and me.{i}@{d.upper()} or x@{d}") for i, d in enumerate(domains)]
+    got = {r.doc_id: r.text for r in replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "registered query").collect()}
+    made = {}
+    for i, d in enumerate(domains):
+        one, two, three = [w for w in got[i].split() if "@" in w]
+        assert one == three and one.lower() != two.lower()
+        new = one.split("@")[1]
+        assert two.split("@")[1].lower() == new and new.endswith("." + d.rsplit(".", 1)[1]) and new.count(".") == d.count(".")
+        made[d] = new
+    assert len(set(made.values())) == len(domains) and not set(made.values()) & set(domains)
+
+
+def test_names_go_wherever_they_stand_in_the_text(spark):
+    from shelfmark.llm.pii import replace_pii
+    text = "Anna Smith wrote. Mr John Smith said: Smith's car, SMITH & Smithson; john smith, John. Dr Anna Smith-Ray left; Anna, Ray, Smith-Ray."
+    other = "Anna Smith and John met nobody with a title."
+    rows = [(1, text), (2, other), (3, "Ms O'Neill came; O'Neill went. " + "filler words " * 40_000 + "O'NEILL"), (4, None)]
+    got = {r.doc_id: r for r in replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    new = got[1].text
+    assert got[1].n_entities == 2 and got[2].text == other and got[4].text is None
+    assert not any(w in new for w in ("Anna", "Smith ", "SMITH", "John", "Smith-Ray")) and "Smithson" in new and "john smith" in new
+    family = new.split("Mr ")[1].split()[1]
+    assert f"{family.upper()} & Smithson" in new and "said:" in new
+    assert "Neill" not in got[3].text and "NEILL" not in got[3].text and got[3].text.count("filler words ") == 40_000
