@@ -1,6 +1,6 @@
 """DuckDB SQL for the registered queries that SQL can express, by brute force over whole tables."""
 
-from .license_scan import NOTICES
+from .license_scan import TEMPLATES
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -9,7 +9,7 @@ def _words(text: str) -> str:
     return rf"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 
-_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in NOTICES.items())
+_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
 _ALNUM = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 
 

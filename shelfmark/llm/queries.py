@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import contaminated
 from .langid import identify
-from .license_scan import NOTICES, license_scan
+from .license_scan import TEMPLATES, license_scan
 from .line_dedup import line_dedup
 from .near_dup import minhash_near_duplicates
 from .negatives import hard_negatives
@@ -33,8 +33,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def notices(spark: SparkSession) -> DataFrame:
-    """The license notices as a table (license_id, text)."""
-    rows = F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in NOTICES.items()])
+    """The license notices and texts as a table (license_id, text)."""
+    rows = F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in TEMPLATES.items()])
     return spark.range(1).select(F.inline(rows))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm import langid, vectors
 from shelfmark.llm.components import connected_components
 from shelfmark.llm.decontaminate import contaminated
-from shelfmark.llm.license_scan import NOTICES, license_scan
+from shelfmark.llm.license_scan import MISS, NOTICES, TEMPLATES, WINDOW, bands_for, license_scan
 from shelfmark.llm.line_dedup import line_dedup, rolling
 from shelfmark.llm.near_dup import minhash_near_duplicates
 from shelfmark.llm.pieces import encode_decode
@@ -268,21 +268,76 @@ def test_damaged_archive_is_noticed(spark, tmp_path):
         parse(b"HTTP/1.1 200\r\n\r\n")
 
 
+def alnum_grams(text, k=5):
+    w = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+
+
+def held(rows, templates, percent=80, k=5):
+    """Brute force of the license scan: {(doc_id, license_id): (n_shingles, n_found)}, the best text of each."""
+    out = {}
+    for d, t in rows:
+        for name, x in templates:
+            n = min(k, len(re.findall(r"[^\W_]+", (x or "").lower())))
+            own = alnum_grams(x, n) if n else set()
+            both = len(own & alnum_grams(t, n)) if n else 0
+            if d is not None and name is not None and own and 100 * both >= percent * len(own):
+                out[d, name] = max(out.get((d, name), (0, 0)), (both, len(own)))
+    return {key: (n, both) for key, (both, n) in out.items()}
+
+
+def scanned(spark, rows, templates, **how):
+    got = license_scan(spark.createDataFrame(rows, "doc_id long, text string"),
+                       spark.createDataFrame(templates, "license_id string, text string"), **how).collect()
+    assert len({(r.doc_id, r.license_id) for r in got}) == len(got)
+    return {(r.doc_id, r.license_id): (r.n_shingles, r.n_found) for r in got}
+
+
 def test_license_scan(spark, docs, empty):
-    rows = [(i, " ".join(prose(30)) + f"\n{t}\n" + " ".join(prose(400))) for i, t in enumerate(NOTICES.values())]
+    rows = [(i, " ".join(prose(30)) + f"\n{t}\n" + " ".join(prose(400))) for i, t in enumerate(TEMPLATES.values())]
     rows += [(50, NOTICES["GPL-3.0"].upper()), (51, "This work is licensed under the Public License"), (52, None), (53, ""), (None, NOTICES["MIT"]), (0, rows[0][1])]
     df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, license_id string")
-
-    def grams(t):
-        w = re.findall(r"[^\W_]+", (t or "").lower())
-        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
-
-    want = {(d, name) for d, t in rows if d is not None for name, x in NOTICES.items() if 100 * len(grams(t) & grams(x)) >= 80 * len(grams(x))}
     got = license_scan(df, notices(spark)).collect()
-    assert {(r.doc_id, r.license_id) for r in got} == want and len(got) == len(want) >= 8
+    want = held(rows, list(TEMPLATES.items()))
+    assert {(r.doc_id, r.license_id): (r.n_shingles, r.n_found) for r in got} == want and len(got) == len(want) >= len(TEMPLATES) + 1
     plan = license_scan(df, notices(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan.replace("PythonRDD", ""))
     assert license_scan(empty, notices(spark)).count() == 0
+    assert license_scan(df, notices(spark).where("false")).count() == 0
+
+
+def test_license_scan_short_and_long_templates(spark):
+    long = prose(2000)
+    templates = [("one", "Unlicensed!"), ("two", "Public-Domain"), ("four", "all rights are reserved"), ("long", " ".join(long)),
+                 ("both", "free as air"), ("both", " ".join(prose(60))), ("none", "-- ..."), ("null", None), (None, "free as air")]
+    rows = [(1, "it is unlicensed"), (2, "public domain"), (3, "Public, domain. All rights are reserved; free as air"), (4, "all rights reserved"),
+            (5, " ".join(prose(100) + edited(long, 60) + prose(100))), (6, " ".join(edited(long, 900))), (7, templates[5][1] + " free as air"), (8, ""), (9, None)]
+    want = held(rows, templates)
+    assert {(1, "one"), (2, "two"), (3, "two"), (3, "four"), (5, "long"), (7, "both")} <= set(want) and (6, "long") not in want
+    assert scanned(spark, rows, templates) == want
+
+
+@pytest.mark.parametrize("percent", [20, 50, 80, 100])
+def test_license_scan_other_shares(spark, percent):
+    templates = [(f"t{i}", " ".join(prose(n))) for i, n in enumerate((5, 6, 7, 9, 10, 14, 40, 90))]
+    rows = [(100 * i + j, " ".join(prose(40) + edited(t.split(), j) + prose(40))) for i, (_, t) in enumerate(templates) for j in range(9)]
+    assert scanned(spark, rows, templates, percent=percent) == held(rows, templates, percent)
+    for size in (2, 3, 4, 5):  # one piece: the bound itself
+        common = -(-percent * size // 100)
+        assert (1 - common / (WINDOW + size - common)) ** bands_for(size, percent) <= MISS
+    assert bands_for(2000, percent) <= bands_for(40, percent) <= bands_for(5, percent)
+    with pytest.raises(ValueError):
+        license_scan(spark.createDataFrame([(1, "a")], "doc_id long, text string"), notices(spark), percent=0)
+
+
+def test_license_scan_of_one_megabyte(spark):
+    words = prose(250_000)
+    for name, at in zip(TEMPLATES, range(1000, 250_000, 27_000)):
+        words[at] += " " + TEMPLATES[name]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:200]))]
+    assert len(rows[0][1]) > 1_000_000
+    got = scanned(spark, rows, list(TEMPLATES.items()))
+    assert got == held(rows, list(TEMPLATES.items())) and {name for d, name in got if d == 1} == set(TEMPLATES)
 
 
 def test_pii_surrogates(spark, empty):
