@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -347,3 +348,90 @@ def test_names_go_wherever_they_stand_in_the_text(spark):
     family = new.split("Mr ")[1].split()[1]
     assert f"{family.upper()} & Smithson" in new and "said:" in new
     assert "Neill" not in got[3].text and "NEILL" not in got[3].text and got[3].text.count("filler words ") == 40_000
+
+
+def test_surrogates_of_a_generated_corpus(spark):
+    """Every unit maps one to one within its type, alike in all its formats, and none onto a real unit."""
+    from shelfmark.llm.pii import replace_pii
+    pick = random.Random(12)
+    given = {"Mr": ["John", "Peter", "Omar", "Liam"], "Mrs": ["Anna", "Lena", "Zoe", "Mia"]}
+    family = [a + b for a in ("Ber", "Kol", "Mor", "Tan") for b in ("ger", "sen", "ris", "ovic", "dal")]
+    rows, real = [], []
+    for i in range(300):
+        title = pick.choice(list(given))
+        name = (pick.choice(given[title]), pick.choice(family))
+        area, end, card = pick.randrange(200, 230), pick.randrange(1000, 1100), f"4{pick.randrange(40):015d}"
+        mail, ip, ssn = f"u{pick.randrange(60)}@h{pick.randrange(9)}.org", f"10.0.{pick.randrange(3)}.{pick.randrange(20)}", f"123-45-{pick.randrange(6000, 6080)}"
+        phone = pick.choice([f"({area}) 555-{end}", f"{area}-555-{end}", f"{area}.555.{end}", f"+1 {area} 555 {end}"])
+        shown = pick.choice([card, " ".join(card[j:j + 4] for j in range(0, 16, 4))])
+        words = [w.upper() if pick.random() < 0.2 else w for w in name]
+        rows.append((i, f"{title} {words[0]} {words[1]} | {pick.choice([mail, mail.upper()])} | {phone} | {ip} | {ssn} | {shown} | said {name[1]}."))
+        real.append({"given " + title: name[0], "family": name[1], "mailbox": mail, "domain": mail.split("@")[1], "phone": f"{area}555{end}",
+                     "ip": ip, "ssn": ssn, "card": card, "again": name[1]})
+    got = replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "generated").collect()
+    made: dict = {}
+    for r in got:
+        names, mail, phone, ip, ssn, card, said = r.text.split(" | ")
+        title, first, last = names.split()
+        assert title == rows[r.doc_id][1].split()[0] and r.n_entities == 6
+        new = {"given " + title: first.capitalize(), "family": last.capitalize(), "mailbox": mail.lower(), "domain": mail.lower().split("@")[1],
+               "phone": re.sub("[^0-9]", "", phone)[-10:], "ip": ip, "ssn": ssn, "card": card.replace(" ", ""), "again": said[5:-1]}
+        for kind, value in real[r.doc_id].items():
+            made.setdefault("family" if kind == "again" else kind, {}).setdefault(value, set()).add(new[kind])
+        old = rows[r.doc_id][1].split(" | ")
+        assert [re.sub(r"\d", "0", x) for x in (phone, ssn, card)] == [re.sub(r"\d", "0", x) for x in (old[2], old[4], old[5])]
+    for kind, table in made.items():
+        assert all(len(s) == 1 for s in table.values()), kind
+        new = {s for x in table.values() for s in x}
+        assert len(new) == len(table) and not new & set(table), kind
+
+
+# ---------------------------------------------------------------------------- whole prediction of op8
+def test_language_id_equals_brute_force(spark):
+    import math
+    import zlib
+    from collections import Counter
+
+    import public_tokenizers
+    import sentencepiece
+    from shelfmark.llm import langid
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    learned = {(r.text, r.lang) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 and r.text is not None and r.lang is not None}
+    langs = sorted({lang for _, lang in learned})
+    assert len(learned) < langid.FIT_DOCS and len(langs) > 1
+    names = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
+    names = [p for p in names if p == "▁" or (p == p.lower() and p.strip("▁") and p.removeprefix("▁").isalpha())]
+    seen = {g: Counter() for g in langs}
+    for text, lang in learned:
+        for word, n in Counter(langid.letter_words(text)).items():
+            for piece in sp.encode(word, out_type=str):
+                seen[lang][piece] += n
+    probs = {g: {p: seen[g][p] + langid.SMOOTH for p in names} for g in langs}
+    for g, table in probs.items():
+        total = sum(table.values())
+        probs[g] = {p: n / total for p, n in table.items()}
+    unknown = 0.1 * min(min(t.values()) for t in probs.values())
+    longest = max(map(len, names))
+
+    def mass(run, table):  # from the end: the sum over the segmentations of every rest of the run
+        rest = [0.0] * len(run) + [1.0]
+        for i in reversed(range(len(run))):
+            rest[i] = sum(table.get(run[i:j], unknown if j == i + 1 else 0.0) * rest[j] for j in range(i + 1, min(len(run), i + longest) + 1))
+        return math.log(rest[0])
+
+    memo: dict = {}
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        bag = Counter(langid.letter_words(r.text or ""))
+        for w in bag:
+            if w not in memo:
+                runs = ["▁" + w[:32], *[w[i:i + 32] for i in range(32, len(w), 32)]]
+                memo[w] = [sum(mass(run, probs[g]) for run in runs) for g in langs]
+        sums = [sum(n * memo[w][k] for w, n in bag.items()) for k in range(len(langs))]
+        want = ("und", 0.0) if not bag else (langs[sums.index(max(sums))], 1 / sum(math.exp(s - max(sums)) for s in sums))
+        assert got[r.doc_id].lang_pred == want[0] and abs(got[r.doc_id].score - want[1]) < 1e-6
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
