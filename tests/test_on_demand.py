@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from shelfmark.operators import reports as R
@@ -71,3 +72,10 @@ def test_a_repeated_id_still_stops_every_query(spark):
     spark.read.parquet(f"{folder}/again").write.mode("overwrite").parquet(f"{folder}/customer.parquet")
     with pytest.raises(DuplicateIds, match="users 1"):
         E.queries()["derived_item_ext"](spark, folder)
+
+
+def test_renewal_counts_cover_every_loan(spark, tables):
+    found = E.queries()["derived_loans_renewal_count"](spark, tables)
+    assert found.count() == 90 * 3  # every line that has an order
+    item = F.substring("item_id", -4, 4).cast("int")
+    assert found.where(item % 50 == 47).count() > 0
